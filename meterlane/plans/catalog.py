@@ -13,7 +13,7 @@ from meterlane.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("cleaning", "functions", "joins", "reports")
+MODULES = ("cleaning", "functions", "joins", "reports", "windows", "quality", "models")
 
 
 def query(name: str, sql: str | None = None):
