@@ -13,7 +13,8 @@ from meterlane.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("cleaning", "functions", "joins", "reports", "windows", "quality", "models")
+MODULES = ("cleaning", "functions", "joins", "reports", "windows", "quality", "models",
+           "sources", "writes", "streams")
 
 
 def query(name: str, sql: str | None = None):

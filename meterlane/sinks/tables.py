@@ -21,26 +21,41 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], cluster: Sequence[str] = (),
-                      spread: int = 1) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], cluster: Sequence[str] = ()) -> None:
     """Hive-partitioned folders, sorted inside by the cluster columns.
 
-    Rows are grouped by partition before writing, so a task does not open a file in
-    every folder. ``spread`` lets up to that many tasks share one busy partition.
-    Existing partitions that get no rows are left alone.
+    The rebalance hint groups rows by partition, so a task does not open a file in
+    every folder, and lets AQE split a busy partition over several tasks and join
+    small ones. Existing partitions that get no rows are left alone.
     """
-    salt = [F.floor(F.rand(7) * spread)] if spread > 1 else []
-    laid_out = df.repartition(*[F.col(c) for c in by], *salt)
-    (laid_out.sortWithinPartitions(*by, *cluster).write.partitionBy(*by)
+    (rebalanced(df, *by).sortWithinPartitions(*by, *cluster).write.partitionBy(*by)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
 
 
-def create_table(df: DataFrame, name: str, path: str, **bucketing) -> None:
-    """CREATE TABLE AS SELECT at an explicit folder; optional ``buckets`` and ``key``."""
+def rebalanced(df: DataFrame, *by: str) -> DataFrame:
+    """Rows grouped by columns as far as partitions of even size allow."""
+    return df.hint("rebalance", *by)
+
+
+def create_table(df: DataFrame, name: str, path: str) -> None:
+    """CREATE TABLE AS SELECT at an explicit folder."""
+    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+
+
+def create_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int,
+                    most_rows_per_key: int = 10_000_000) -> bool:
+    """Store a table in sorted buckets, so that joins on the key need no shuffle.
+
+    A bucket is read by one task and is never split, so a table with a hot key is
+    stored without buckets; its joins then shuffle and AQE splits the hot key.
+    """
+    hottest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
     writer = df.write.mode("overwrite").option("path", path)
-    if bucketing:
-        writer = writer.bucketBy(bucketing["buckets"], bucketing["key"]).sortBy(bucketing["key"])
+    if bucketed := hottest <= most_rows_per_key:
+        writer = df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+        writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(name)
+    return bucketed
 
 
 def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:

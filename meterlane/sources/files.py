@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from meterlane.session import new_path
 
+# Text files keep milliseconds only unless writer and reader are told otherwise.
+EXACT_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def typed_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
               **options) -> DataFrame:
@@ -52,10 +55,11 @@ def parquet_by_name(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                   **options) -> DataFrame:
     """One JSON document per line; the reader splits large files."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.json(path)
+    reader = spark.read.options(**options)
+    return (reader.schema(schema) if schema else reader).json(path)
 
 
 def with_source_file(df: DataFrame, name: str = "filename") -> DataFrame:

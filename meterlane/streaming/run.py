@@ -53,7 +53,7 @@ def upsert(stream: DataFrame, label: str, keys: Sequence[str], path: str | None
     _finish(stream.writeStream.outputMode(mode).foreachBatch(
         lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")),
         checkpoint)
-    return newest(spark.read.option("basePath", path).parquet(path), keys)
+    return newest(spark.read.parquet(path), keys)
 
 
 def newest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,8 +73,7 @@ def branch(stream: DataFrame, label: str, routes: Mapping[str, Column]) -> dict[
         batch.unpersist()
 
     _finish(stream.writeStream.foreachBatch(write), new_path(spark, f"{label}-state"))
-    return {name: spark.read.option("basePath", path).schema(stream.schema).parquet(f"{path}/*")
-            for name, path in paths.items()}
+    return {name: spark.read.parquet(path).drop(BATCH) for name, path in paths.items()}
 
 
 def each_batch(stream: DataFrame, label: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -84,7 +83,7 @@ def each_batch(stream: DataFrame, label: str, work: Callable[[DataFrame], DataFr
     _finish(stream.writeStream.foreachBatch(
         lambda batch, number: work(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")),
         new_path(spark, f"{label}-state"))
-    return spark.read.option("basePath", path).parquet(path).drop(BATCH)
+    return spark.read.parquet(path).drop(BATCH)
 
 
 def console(stream: DataFrame, mode: str = "complete", rows: int = 20, every: str = "5 seconds"):
