@@ -13,7 +13,7 @@ def trips_unioned(green: DataFrame, yellow: DataFrame) -> DataFrame:
     """Both services under one schema; yellow lacks two of green's columns."""
     return unions.aligned(
         {"Green": green, "Yellow": yellow},
-        {"Yellow": {"trip_type": (1, "int"), "ehail_fee": (0, "decimal(18,4)")}})
+        {"Yellow": {"trip_type": (1, "int"), "ehail_fee": (0, "double")}})
 
 
 def trips_enriched(unioned: DataFrame, payment_types: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meterlane.functions import keys, labels, numbers, text, times
 from meterlane.operators import cleaning
 from meterlane.plans.catalog import query
-from meterlane.plans.sqltext import TRIPS, number
+from meterlane.plans.sqltext import TRIPS
 from meterlane.plans.stand_ins import IS_YELLOW_SQL, Data
 
 RAW_COMMON = {"VendorID": "vendor_code", "PULocationID": "pickup_id", "DOLocationID": "dropoff_id",
@@ -18,16 +18,14 @@ STAGED_COMMON = {
     "vendor_id": ("VendorID", "int"), "pickup_location_id": ("PULocationID", "int"),
     "dropoff_location_id": ("DOLocationID", "int"), "passenger_count": ("passenger_count", "int"),
     "trip_distance": ("trip_distance", "double"), "payment_type": ("payment_type", "int"),
-    "fare_amount": ("fare_amount", "decimal(18,3)"), "tip_amount": ("tip_amount", "decimal(18,3)"),
-    "total_amount": ("total_amount", "decimal(18,3)")}
+    "fare_amount": ("fare_amount", "decimal(18,4)"), "tip_amount": ("tip_amount", "decimal(18,4)"),
+    "total_amount": ("total_amount", "decimal(18,4)")}
 MONEY = ("fare_amount", "tip_amount", "total_amount")
 
 
 def raw(frame, prefix: str):
     """Trips under the names and types of the delivered files."""
-    columns = [F.col(src).cast("double" if src in ("fare", "tip", "total") else
-                               frame.schema[src].dataType).alias(name)
-               for name, src in RAW_COMMON.items()]
+    columns = [F.col(src).alias(name) for name, src in RAW_COMMON.items()]
     return frame.select(*columns, F.col("pickup").alias(f"{prefix}_pickup_datetime"),
                         F.col("dropoff").alias(f"{prefix}_dropoff_datetime"),
                         *[F.col(c) for c in frame.columns if c in ("trip_type", "ehail_fee")])
@@ -47,7 +45,7 @@ def stage(frame, prefix: str):
     spec["dropoff_datetime"] = (f"{prefix}_dropoff_datetime", "timestamp_ntz")
     if "trip_type" in frame.columns:
         spec["trip_type"] = ("trip_type", "int")
-        spec["ehail_fee"] = ("ehail_fee", "decimal(18,3)")
+        spec["ehail_fee"] = ("ehail_fee", "decimal(18,4)")
     return cleaning.staged(cleaning.not_null(frame, "VendorID"), spec)
 
 
@@ -57,14 +55,14 @@ def as_doubles(frame, *columns):
 
 STAGED_SQL = """SELECT CAST(vendor_code AS INTEGER) AS vendor_id, pickup_id AS pickup_location_id,
  dropoff_id AS dropoff_location_id, passenger_count, distance AS trip_distance,
- payment_code AS payment_type, CAST(CAST(fare AS DECIMAL(18,3)) AS DOUBLE) AS fare_amount,
- CAST(CAST(tip AS DECIMAL(18,3)) AS DOUBLE) AS tip_amount,
- CAST(CAST(total AS DECIMAL(18,3)) AS DOUBLE) AS total_amount,
+ payment_code AS payment_type, CAST(CAST(fare AS DECIMAL(18,4)) AS DOUBLE) AS fare_amount,
+ CAST(CAST(tip AS DECIMAL(18,4)) AS DOUBLE) AS tip_amount,
+ CAST(CAST(total AS DECIMAL(18,4)) AS DOUBLE) AS total_amount,
  pickup AS pickup_datetime, dropoff AS dropoff_datetime"""
 
 
 @query("stg_green", f"""{TRIPS} {STAGED_SQL}, 2 AS trip_type,
- CAST(CAST(tax AS DECIMAL(18,3)) AS DOUBLE) AS ehail_fee
+ CAST(CAST(tax AS DECIMAL(18,4)) AS DOUBLE) AS ehail_fee
  FROM trips WHERE NOT ({IS_YELLOW_SQL}) AND vendor_code IS NOT NULL""")
 def stg_green(data: Data):
     return as_doubles(stage(raw_green(data), "lpep"), *MONEY, "ehail_fee")
@@ -84,7 +82,7 @@ def stg_fhv_not_null(data: Data):
     return cleaning.not_null(fhv, "dispatching_base_num")
 
 
-@query("common_columns", f"""{TRIPS} SELECT vendor_code, pickup, distance, CAST(fare AS DOUBLE) AS fare,
+@query("common_columns", f"""{TRIPS} SELECT vendor_code, pickup, distance, fare,
  CASE WHEN {IS_YELLOW_SQL} THEN 'yellow' ELSE 'green' END AS service FROM trips""")
 def common_columns(data: Data):
     wanted = ("vendor_code", "pickup", "distance", "fare")
@@ -92,7 +90,7 @@ def common_columns(data: Data):
     shared = cleaning.common_columns(yellow, green)
     both = (yellow.select(*shared).withColumn("service", F.lit("yellow"))
             .unionByName(green.select(*shared).withColumn("service", F.lit("green"))))
-    return as_doubles(both, "fare")
+    return both
 
 
 @query("snake_case_columns", f"""{TRIPS} SELECT vendor_code AS vendor_id, pickup_id AS pu_location_id,
@@ -281,11 +279,11 @@ def drop_any_null(data: Data):
     return data.trips("order_key", "vendor_code", "pickup_id", "dropoff_id", "payment_code").na.drop()
 
 
-@query("dev_sample", f"""{TRIPS} SELECT order_key, pickup, {number('fare')} AS fare FROM trips
+@query("dev_sample", f"""{TRIPS} SELECT order_key, pickup, fare FROM trips
  WHERE pickup >= '1996-01-01' AND pickup < '1996-02-01'""")
 def dev_sample(data: Data):
     trips = data.trips("order_key", "pickup", "fare")
-    return as_doubles(cleaning.sample_in_dev(trips, "pickup", "1996-01-01", "1996-02-01", "dev"), "fare")
+    return cleaning.sample_in_dev(trips, "pickup", "1996-01-01", "1996-02-01", "dev")
 
 
 @query("last_n_days", """SELECT o_orderkey, o_orderdate FROM orders
@@ -324,8 +322,8 @@ def count_zero_values(data: Data):
                                       F.count_if(zero & (F.col("l_tax") == 0)).alias("both_zero"))
 
 
-@query("delete_where", f"""{TRIPS} SELECT order_key, pickup_id, {number('fare')} AS fare FROM trips
+@query("delete_where", f"""{TRIPS} SELECT order_key, pickup_id, fare FROM trips
  WHERE NOT coalesce(pickup_id = 3 AND fare > 50000, false)""")
 def delete_where(data: Data):
     trips = data.trips("order_key", "pickup_id", "fare")
-    return as_doubles(cleaning.deleted_where(trips, (F.col("pickup_id") == 3) & (F.col("fare") > 50000)), "fare")
+    return cleaning.deleted_where(trips, (F.col("pickup_id") == 3) & (F.col("fare") > 50000))

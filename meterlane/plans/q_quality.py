@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlane.operators import quality
 from meterlane.plans.catalog import query
@@ -72,13 +73,10 @@ def dq_freshness(data: Data):
     return quality.freshness(data.events(), "ts", "2024-02-01 06:00:00")
 
 
-@query("dq_contract", f"{TRIPS} SELECT order_key, pickup, CAST(total AS DOUBLE) AS total FROM trips")
+@query("dq_contract", f"{TRIPS} SELECT order_key, pickup, total FROM trips")
 def dq_contract(data: Data):
-    from pyspark.sql import types as T
-
-    declared = T.StructType.fromDDL("order_key bigint, pickup timestamp_ntz, total decimal(18,4)")
-    kept = quality.contracted(data.trips("order_key", "pickup", "total"), declared)
-    return kept.withColumn("total", F.col("total").cast("double"))
+    declared = T.StructType.fromDDL("order_key bigint, pickup timestamp_ntz, total double")
+    return quality.contracted(data.trips("order_key", "pickup", "total"), declared)
 
 
 @query("dq_assertions", """SELECT * , CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterlane.functions import keys, labels, times
-from meterlane.functions.numbers import half_up, mean, total
+from meterlane.functions.numbers import half_up, mean, retotal, total, units
 from meterlane.functions.times import truncated
 from meterlane.operators import joins, reports, unions
 from meterlane.plans import models, sqltext
@@ -52,14 +52,14 @@ def monthly_zone_revenue(data: Data):
 
 @query("fact_trips", f"""{FACTS} SELECT trip_id, vendor_code, service AS service_type, pickup_zone, dropoff_zone,
  pickup_borough, dropoff_borough, pickup, dropoff, trip_type, trip_duration_minutes,
- CAST(total AS DOUBLE) AS total, coalesce(payment_code, 0) AS payment_type,
+ total, coalesce(payment_code, 0) AS payment_type,
  CASE coalesce(payment_code, 0) WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' ELSE 'Unknown' END
  AS payment_type_description FROM facts""")
 def fact_trips(data: Data):
     return facts(data).select(
         "trip_id", "vendor_code", "service_type", "pickup_zone", "dropoff_zone", "pickup_borough",
         "dropoff_borough", "pickup", "dropoff", "trip_type", "trip_duration_minutes",
-        F.col("total").cast("double").alias("total"), "payment_type", "payment_type_description")
+        "total", "payment_type", "payment_type_description")
 
 
 @query("monthly_zone_revenue_by_id", f"""{TRIPS} SELECT pickup_id AS zone, CAST(date_trunc('month', pickup) AS TIMESTAMP)
@@ -79,7 +79,7 @@ def monthly_zone_revenue_by_id(data: Data):
 def best_zone_year(data: Data):
     mart = monthly_zone_revenue(data).filter(
         (F.col("service_type") == "Green") & times.within("revenue_month", "1997-01-01", "1998-01-01"))
-    zones = mart.groupBy("zone").agg(total("revenue_monthly_total_amount").alias("revenue"))
+    zones = mart.groupBy("zone").agg(retotal("revenue_monthly_total_amount").alias("revenue"))
     return reports.top(zones, [F.desc("revenue"), F.col("zone")], 1)
 
 
@@ -119,12 +119,12 @@ def day_maxima(data: Data):
 
 
 @query("day_zone_maxima", f"""{TRIPS} SELECT CAST(date_trunc('day', dropoff) AS TIMESTAMP) AS day, dropoff_id,
- count(*) AS trips, CAST(max(total) AS DOUBLE) AS max_amount, max(passenger_count) AS max_passengers
+ count(*) AS trips, max(total) AS max_amount, max(passenger_count) AS max_passengers
  FROM trips GROUP BY 1, 2 ORDER BY day, dropoff_id""")
 def day_zone_maxima(data: Data):
     return data.trips("dropoff", "dropoff_id", "total", "passenger_count").groupBy(
         truncated("day", "dropoff").alias("day"), "dropoff_id").agg(
-        F.count("*").alias("trips"), F.max("total").cast("double").alias("max_amount"),
+        F.count("*").alias("trips"), F.max("total").alias("max_amount"),
         F.max("passenger_count").alias("max_passengers")).orderBy("day", "dropoff_id")
 
 
@@ -184,8 +184,7 @@ def hour_zone_revenue(data: Data):
 def rdd_revenue(data: Data):
     # The same report as a map and a key-wise reduce, kept to show the equivalence.
     since = data.events().filter(F.col("ts") >= F.lit("2024-01-05").cast("timestamp_ntz"))
-    cents = F.round(F.col("value") * 10_000).cast("long")
-    keyed = since.select(truncated("hour", "ts").alias("hour"), "user_id", cents.alias("units")).rdd.map(
+    keyed = since.select(truncated("hour", "ts").alias("hour"), "user_id", units("value").alias("units")).rdd.map(
         lambda r: ((r["hour"], r["user_id"]), (r["units"], 1)))
     reduced = keyed.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1]))
     rows = reduced.map(lambda kv: (kv[0][0], kv[0][1], kv[1][0], kv[1][1]))
@@ -251,12 +250,12 @@ def zone_pair_text(data: Data):
     return reports.top(summed, [F.desc("trips"), F.col("pair")], 1)
 
 
-@query("largest_tip_dropoff", f"""{BOTH} SELECT zdo.zone AS dropoff_zone, CAST(max(tip) AS DOUBLE) AS largest_tip
+@query("largest_tip_dropoff", f"""{BOTH} SELECT zdo.zone AS dropoff_zone, max(tip) AS largest_tip
  FROM trips JOIN zones zpu ON pickup_id = zpu.location_id JOIN zones zdo ON dropoff_id = zdo.location_id
  WHERE zpu.zone = 'NATION_3' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""")
 def largest_tip_dropoff(data: Data):
     trips = from_zone(data, "NATION_3", "tip")
-    grouped = trips.groupBy("dropoff_zone").agg(F.max("tip").cast("double").alias("largest_tip"))
+    grouped = trips.groupBy("dropoff_zone").agg(F.max("tip").alias("largest_tip"))
     return reports.top(grouped, [F.desc("largest_tip"), F.col("dropoff_zone")], 1)
 
 
@@ -453,22 +452,22 @@ def rows_per_year(data: Data):
                              F.col("o_orderstatus").alias("service"), name="n")
 
 
-@query("union_all_services", f"""{TRIPS} SELECT order_key, pickup, CAST(fare AS DOUBLE) AS fare,
+@query("union_all_services", f"""{TRIPS} SELECT order_key, pickup, fare,
  CASE WHEN {IS_YELLOW_SQL} THEN 'yellow' ELSE 'green' END AS service_type FROM trips""")
 def union_all_services(data: Data):
     wanted = ("order_key", "pickup", "fare")
     both = unions.stacked(data.yellow(*wanted).withColumn("service_type", F.lit("yellow")),
                           data.green(*wanted).select(*wanted).withColumn("service_type", F.lit("green")))
-    return both.withColumn("fare", F.col("fare").cast("double"))
+    return both
 
 
-@query("union_aligned", f"""{TRIPS} SELECT order_key, CAST(total AS DOUBLE) AS total,
+@query("union_aligned", f"""{TRIPS} SELECT order_key, total,
  CASE WHEN {IS_YELLOW_SQL} THEN 1 ELSE 2 END AS trip_type,
  CAST(CASE WHEN {IS_YELLOW_SQL} THEN 0 ELSE tax END AS DOUBLE) AS ehail_fee,
  CASE WHEN {IS_YELLOW_SQL} THEN 'Yellow' ELSE 'Green' END AS service_type FROM trips""")
 def union_aligned(data: Data):
     both = models.trips_unioned(data.green("order_key", "total"), data.yellow("order_key", "total"))
-    return both.withColumns({c: F.col(c).cast("double") for c in ("total", "ehail_fee")})
+    return both
 
 
 @query("topk_orders", """SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""")

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterlane.functions import labels, times
-from meterlane.functions.numbers import money
+from meterlane.functions.numbers import units
 from meterlane.operators import cleaning, joins, ordered, reports
 from meterlane.plans import sqltext
 from meterlane.plans.catalog import query
@@ -59,8 +59,8 @@ def lag_lead(data: Data):
  OVER ({IN_TIME} ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM events""")
 def running_sum(data: Data):
     events = data.events().select("event_id", "event_type", "ts", "value")
-    summed = ordered.running_sum(events, ["event_type"], in_time(), money("value", 4), "running")
-    return summed.select("event_id", "event_type", F.col("running").cast("double").alias("running"))
+    summed = ordered.running_sum(events, ["event_type"], in_time(), units("value").cast("decimal(18,0)"), "running")
+    return summed.select("event_id", "event_type", (F.col("running") / 10_000).cast("double").alias("running"))
 
 
 @query("moving_avg", f"""SELECT event_id, event_type, CAST(sum(CAST(value AS DECIMAL(18,4)))
@@ -71,18 +71,17 @@ def moving_avg(data: Data):
 
     def average(window):
         last = window.rowsBetween(-2, 0)
-        return F.sum(money("value", 4)).over(last).cast("double") / F.count("value").over(last)
+        return (F.sum(units("value")).over(last) / 10_000) / F.count("value").over(last)
 
     framed = ordered.framed(events, ["event_type"], in_time(), {"moving": average}, before=2)
     return framed.select("event_id", "event_type", "moving")
 
 
-@query("p90_per_zone", f"""{TRIPS} SELECT order_key, pickup_id, CAST(total AS DOUBLE) AS total,
- round(quantile_cont(CAST(total AS DOUBLE), 0.9) OVER (PARTITION BY pickup_id), 4) AS p90
+@query("p90_per_zone", f"""{TRIPS} SELECT order_key, pickup_id, total,
+ round(quantile_cont(total, 0.9) OVER (PARTITION BY pickup_id), 4) AS p90
  FROM trips WHERE pickup_id IS NOT NULL""")
 def p90_per_zone(data: Data):
-    trips = (data.trips("order_key", "pickup_id", "total").filter("pickup_id IS NOT NULL")
-             .withColumn("total", F.col("total").cast("double")))
+    trips = data.trips("order_key", "pickup_id", "total").filter("pickup_id IS NOT NULL")
     p90 = ordered.percentiles(trips, ["pickup_id"], "total", {"p90": 0.9})
     zones = p90.select(F.col("pickup_id").alias("zone"), F.round("p90", 4).alias("p90"))
     return joins.lookup(trips, zones, F.col("pickup_id") == F.col("zone")).drop("zone")
@@ -129,15 +128,15 @@ def quarterly_extremes(data: Data):
 
 
 @query("monthly_fare_percentiles", f"""{TRIPS} SELECT service_type, CAST(year(pickup) AS INTEGER) AS year,
- CAST(month(pickup) AS INTEGER) AS month, round(quantile_cont(CAST(fare AS DOUBLE), 0.97), 4) AS p97,
- round(quantile_cont(CAST(fare AS DOUBLE), 0.95), 4) AS p95, round(quantile_cont(CAST(fare AS DOUBLE), 0.9), 4) AS p90
+ CAST(month(pickup) AS INTEGER) AS month, round(quantile_cont(fare, 0.97), 4) AS p97,
+ round(quantile_cont(fare, 0.95), 4) AS p95, round(quantile_cont(fare, 0.9), 4) AS p90
  FROM trips WHERE fare > 0 AND distance > 0 AND payment_code IN (1, 2) GROUP BY 1, 2, 3""")
 def monthly_fare_percentiles(data: Data):
     label = labels.labelled("payment_code", labels.PAYMENT_LABELS, labels.PAYMENT_DEFAULT)
     valid = data.trips("service_type", "pickup", "fare", "distance", "payment_code").filter(
         (F.col("fare") > 0) & (F.col("distance") > 0) & label.isin("Cash", "Credit card"))
     keyed = valid.select("service_type", F.year("pickup").alias("year"), F.month("pickup").alias("month"),
-                         F.col("fare").cast("double").alias("fare"))
+                         "fare")
     result = ordered.percentiles(keyed, ["service_type", "year", "month"], "fare",
                                  {"p97": 0.97, "p95": 0.95, "p90": 0.9})
     return result.withColumns({p: F.round(p, 4) for p in ("p97", "p95", "p90")})

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlane.functions.numbers import money
-
 LINE = {
     "order_key": lambda: F.col("l_orderkey"),
     "vendor_id": lambda: F.col("l_linestatus"),
@@ -19,11 +17,10 @@ LINE = {
     "dropoff": lambda: F.col("l_shipdate"),
     "passenger_count": lambda: F.col("l_linenumber"),
     "distance": lambda: F.col("l_quantity"),
-    "fare": lambda: money("l_extendedprice", 4),
-    "tip": lambda: money(F.col("l_extendedprice") * F.col("l_discount"), 4),
-    "tax": lambda: money("l_tax", 4),
-    "total": lambda: (money("l_extendedprice", 4)
-                      + money(F.col("l_extendedprice") * F.col("l_discount"), 4)).cast("decimal(18,4)"),
+    "fare": lambda: F.col("l_extendedprice"),
+    "tip": lambda: F.col("l_extendedprice") * F.col("l_discount"),
+    "tax": lambda: F.col("l_tax"),
+    "total": lambda: F.col("l_extendedprice") + F.col("l_extendedprice") * F.col("l_discount"),
     "payment_type": lambda: F.col("l_returnflag"),
     "payment_code": lambda: F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2),
     "part_key": lambda: F.col("l_partkey"),
@@ -41,10 +38,8 @@ TRIPS_SQL = """trips AS (
   SELECT l_orderkey AS order_key, l_linestatus AS vendor_id,
          nullif(l_linenumber % 5, 0) AS vendor_code, l_shipdate AS dropoff,
          l_linenumber AS passenger_count, l_quantity AS distance,
-         CAST(l_extendedprice AS DECIMAL(18,4)) AS fare,
-         CAST(l_extendedprice * l_discount AS DECIMAL(18,4)) AS tip,
-         CAST(l_tax AS DECIMAL(18,4)) AS tax,
-         CAST(l_extendedprice AS DECIMAL(18,4)) + CAST(l_extendedprice * l_discount AS DECIMAL(18,4)) AS total,
+         l_extendedprice AS fare, l_extendedprice * l_discount AS tip, l_tax AS tax,
+         l_extendedprice + l_extendedprice * l_discount AS total,
          l_returnflag AS payment_type,
          CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 END AS payment_code,
          l_partkey AS part_key, l_suppkey AS supp_key,
@@ -97,7 +92,7 @@ class Data:
 
     def green(self, *columns: str) -> DataFrame:
         """As yellow, with two more columns."""
-        extra = [F.lit(2).alias("trip_type"), money("tax", 4).alias("ehail_fee")]
+        extra = [F.lit(2).alias("trip_type"), F.col("tax").alias("ehail_fee")]
         wanted = tuple(dict.fromkeys((*columns, "tax")))
         return self._service(False, wanted).select(*columns, *extra)
 

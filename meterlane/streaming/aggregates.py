@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlane.functions.numbers import money
+from meterlane.functions.numbers import total
 
 
 def watermarked(df: DataFrame, time: str, late: str | None) -> DataFrame:
@@ -26,7 +26,7 @@ def windowed(df: DataFrame, time: str, size: str, keys: Sequence[str] = (), amou
     frame = F.window(time, size, slide) if slide else F.window(time, size)
     measures = [F.count(F.lit(1)).alias("n")]
     if amount:
-        measures.append(F.sum(money(amount, 4)).cast("double").alias("amount"))
+        measures.append(total(amount).alias("amount"))
     grouped = watermarked(df, time, late).groupBy(frame, *keys).agg(*measures)
     return grouped.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                           F.col("window.end").cast("timestamp_ntz").alias("window_end"),
@@ -52,7 +52,6 @@ def processing_time_windows(df: DataFrame, size: str, keys: Sequence[str]) -> Da
 
 def running_totals(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
     """Trips, revenue and average so far, overall or per key."""
-    summed = F.sum(money(amount, 4))
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("trips"), summed.cast("double").alias("revenue"),
-        F.try_divide(summed.cast("double"), F.count(F.lit(1))).alias("avg_amount"))
+        F.count(F.lit(1)).alias("trips"), total(amount).alias("revenue"),
+        F.try_divide(total(amount), F.count(F.lit(1))).alias("avg_amount"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from meterlane.functions.numbers import units
 from meterlane.streaming.aggregates import watermarked
 
 # Workers get the classes below with the job and need no installed package.
@@ -46,10 +47,9 @@ class RunningTotals(StatefulProcessor):
 
 def keyed_totals(df: DataFrame, key: str, spread_by: str, amount: str) -> DataFrame:
     """Running totals of every (key, salt), emitted after each micro-batch."""
-    units = F.round(F.col(amount) * 10_000).cast("long")
     salted = df.select(F.col(key).cast("long").alias("key"),
                        F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int").alias("salt"),
-                       units.alias("units"))
+                       units(amount).alias("units"))
     return salted.groupBy("key", "salt").transformWithStateInPandas(
         statefulProcessor=RunningTotals(), outputStructType="key long, salt int, trips long, units long",
         outputMode="Update", timeMode="None")
