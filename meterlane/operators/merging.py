@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlane.functions.keys import row_hash
+from meterlane.operators.cleaning import first_per_key
 from meterlane.operators.unions import stacked_loosely
 
 
@@ -26,9 +27,15 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return target.unionByName(missing_rows(target, source, keys))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched rows are replaced as a whole, new keys are inserted, new columns appended."""
-    return stacked_loosely(missing_rows(source, target, keys), source)
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
+           newest: Sequence[Column] = ()) -> DataFrame:
+    """Matched rows are replaced as a whole, new keys are inserted, new columns appended.
+
+    A key that the source has several times counts once: its first row in the order
+    ``newest``, or any one of them without an order.
+    """
+    once = first_per_key(source, keys, newest) if newest else source.dropDuplicates(list(keys))
+    return stacked_loosely(missing_rows(source, target, keys), once)
 
 
 def delete_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlane.session import broadcast_if_small, materialize
+from meterlane.session import broadcast_if_small, materialize, slice_count
 
 SLICE, IN_SLICE, POSITION = "__slice", "__in_slice", "__position"
 # monotonically_increasing_id() keeps the row number of a partition in its low 33 bits.
@@ -33,8 +33,7 @@ def positioned(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     Adds ``__slice`` and ``__position``. The order should end in a unique column;
     rows that tie on everything get positions in no particular order.
     """
-    spark = df.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slice_count(df.sparkSession)
     sort_by = [F.col(k).asc_nulls_first() for k in keys] + list(order)
     numbered = (df.repartitionByRange(slices, *sort_by)
                 .sortWithinPartitions(*sort_by)

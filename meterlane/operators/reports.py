@@ -56,10 +56,14 @@ def best_day(df: DataFrame, time: str, measure: str, n: int = 1) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, key: str) -> DataFrame:
-    """Rows per category and their percentage; the empty window sees grouped rows only."""
+    """Rows per category and their percentage of all rows.
+
+    The total comes from a one-row subquery: a window without keys would move all
+    categories into one task.
+    """
     grouped = counts_by(df, key, name="n")
-    share = F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())
-    return grouped.withColumn("share_pct", F.round(share, 6))
+    everything = df.agg(F.count(F.lit(1))).scalar()
+    return grouped.withColumn("share_pct", F.round(F.col("n") * 100.0 / everything, 6))
 
 
 def sign_composition(df: DataFrame, columns: Sequence[str]) -> DataFrame:

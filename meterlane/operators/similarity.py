@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlane.operators.cleaning import first_per_key
 
-# A retrieval call asks for a handful of queries; more than this is a batch join.
-QUERY_LIMIT = 1000
+# Query vectors travel inside the plan; more than this many are scored in several passes.
+QUERIES_PER_PASS = 500
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -24,15 +26,24 @@ def nearest(corpus: DataFrame, vec_id: str, vector: str, queries: DataFrame, que
             query_vector: str, k: int) -> DataFrame:
     """The ``k`` most similar vectors of the whole corpus for each query.
 
-    The queries are read to the driver after checking that there are at most
-    ``QUERY_LIMIT`` and travel inside the plan. Every corpus row is scored once per query, and each
-    map task keeps its best ``k`` per query before the shuffle.
+    Every corpus row is scored once per query, and each map task keeps its best
+    ``k`` per query before the shuffle. Queries are handed out in passes of a few
+    hundred, so neither the driver nor a plan holds more than one pass of them.
     """
-    rows = queries.select(query_id, query_vector).limit(QUERY_LIMIT + 1).collect()
-    if len(rows) > QUERY_LIMIT:
-        raise ValueError(f"more than {QUERY_LIMIT} queries; split them into batches")
-    asked = F.array(*[F.struct(F.lit(q).alias(query_id),
-                               F.array(*[F.lit(float(x)) for x in v]).alias("__q")) for q, v in rows])
+    total = queries.count()
+    passes = 1 if total <= QUERIES_PER_PASS else -(-2 * total // QUERIES_PER_PASS)
+    share = F.pmod(F.xxhash64(query_id), F.lit(passes))
+    results = [_one_pass(corpus, vec_id, vector, queries.filter(share == i), query_id, query_vector, k)
+               for i in range(passes)]
+    return reduce(DataFrame.unionByName, results)
+
+
+def _one_pass(corpus: DataFrame, vec_id: str, vector: str, queries: DataFrame, query_id: str,
+              query_vector: str, k: int) -> DataFrame:
+    kind = queries.schema[query_id].dataType
+    asked = F.array(*[F.struct(F.lit(q).cast(kind).alias(query_id),
+                               F.array(*[F.lit(float(x)) for x in v]).alias("__q"))
+                      for q, v in queries.select(query_id, query_vector).collect()])
     scored = (corpus.withColumn("__norm", norm(F.col(vector)))
               .select(vec_id, vector, "__norm", F.inline(asked))
               .withColumn("similarity", F.round(F.try_divide(

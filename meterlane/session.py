@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where that costs the next operator another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Sessions of one key are merged inside each map task before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
@@ -67,6 +69,12 @@ def shared_root(spark: SparkSession) -> str:
     return _local_scratch
 
 
+def slice_count(spark: SparkSession) -> int:
+    """Number of slices for range partitioning: the larger of the two shuffle settings."""
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(first or 0))
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared root; nothing is created yet."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"

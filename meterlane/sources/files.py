@@ -90,9 +90,12 @@ def schema_listing(df: DataFrame) -> DataFrame:
 
 
 def object_store_options(spark: SparkSession, settings: dict[str, str]) -> None:
-    """File-system settings (connector class, key file, ...); paths stay plain URIs."""
+    """File-system settings (connector class, key file, ...) for later reads and writes.
+
+    Paths stay plain URIs; the connector has to be on the class path.
+    """
     for key, value in settings.items():
-        spark.conf.set(key if key.startswith("spark.hadoop.") else f"spark.hadoop.{key}", value)
+        spark.conf.set(key.removeprefix("spark.hadoop."), value)
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

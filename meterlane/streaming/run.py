@@ -7,8 +7,9 @@ last run stopped.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlane.operators.cleaning import first_per_key
@@ -17,8 +18,27 @@ from meterlane.session import new_path
 BATCH = "batch_id"
 
 
-def _finish(writer, checkpoint: str) -> None:
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """Start a stream with a number of state partitions that suits the cluster.
+
+    The number is fixed for the life of a checkpoint and adaptive execution cannot
+    change it, while each partition costs a state store. Two per core are enough.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, min(int(before), 2 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _finish(stream: DataFrame, writer, checkpoint: str | None) -> None:
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    with state_partitions(stream.sparkSession):
+        query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -27,7 +47,7 @@ def append(stream: DataFrame, label: str, path: str | None = None,
     """Append-mode file sink."""
     spark = stream.sparkSession
     path, checkpoint = path or new_path(spark, label), checkpoint or new_path(spark, f"{label}-state")
-    _finish(stream.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
+    _finish(stream, stream.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -36,7 +56,7 @@ def complete(stream: DataFrame, label: str, checkpoint: str | None = None) -> Da
     spark = stream.sparkSession
     path, checkpoint = new_path(spark, label), checkpoint or new_path(spark, f"{label}-state")
     spark.createDataFrame([], stream.schema).write.parquet(path)
-    _finish(stream.writeStream.outputMode("complete").foreachBatch(
+    _finish(stream, stream.writeStream.outputMode("complete").foreachBatch(
         lambda batch, _: batch.write.mode("overwrite").parquet(path)), checkpoint)
     return spark.read.schema(stream.schema).parquet(path)
 
@@ -50,7 +70,7 @@ def upsert(stream: DataFrame, label: str, keys: Sequence[str], path: str | None
     """
     spark = stream.sparkSession
     path, checkpoint = path or new_path(spark, label), checkpoint or new_path(spark, f"{label}-state")
-    _finish(stream.writeStream.outputMode(mode).foreachBatch(
+    _finish(stream, stream.writeStream.outputMode(mode).foreachBatch(
         lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")),
         checkpoint)
     return newest(spark.read.parquet(path), keys)
@@ -72,7 +92,7 @@ def branch(stream: DataFrame, label: str, routes: Mapping[str, Column]) -> dict[
             batch.filter(condition).write.mode("overwrite").parquet(f"{paths[name]}/{BATCH}={number}")
         batch.unpersist()
 
-    _finish(stream.writeStream.foreachBatch(write), new_path(spark, f"{label}-state"))
+    _finish(stream, stream.writeStream.foreachBatch(write), new_path(spark, f"{label}-state"))
     return {name: spark.read.parquet(path).drop(BATCH) for name, path in paths.items()}
 
 
@@ -80,7 +100,7 @@ def each_batch(stream: DataFrame, label: str, work: Callable[[DataFrame], DataFr
     """Apply a batch function to every micro-batch and collect the results in a table."""
     spark = stream.sparkSession
     path = new_path(spark, label)
-    _finish(stream.writeStream.foreachBatch(
+    _finish(stream, stream.writeStream.foreachBatch(
         lambda batch, number: work(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")),
         new_path(spark, f"{label}-state"))
     return spark.read.parquet(path).drop(BATCH)
@@ -88,15 +108,14 @@ def each_batch(stream: DataFrame, label: str, work: Callable[[DataFrame], DataFr
 
 def console(stream: DataFrame, mode: str = "complete", rows: int = 20, every: str = "5 seconds"):
     """Start printing results; the caller stops the returned query."""
-    return (stream.writeStream.outputMode(mode).format("console").option("numRows", rows)
-            .trigger(processingTime=every).start())
+    writer = stream.writeStream.outputMode(mode).format("console").option("numRows", rows)
+    with state_partitions(stream.sparkSession):
+        return writer.trigger(processingTime=every).start()
 
 
 def memory(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     """In-memory result table on the driver: for aggregates of a few rows only."""
-    query = (stream.writeStream.outputMode(mode).format("memory").queryName(name)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    _finish(stream, stream.writeStream.outputMode(mode).format("memory").queryName(name), None)
     return stream.sparkSession.table(name)
 
 
