@@ -268,10 +268,10 @@ def from_zone(data: Data, zone: str, *columns: str):
 
 @query("popular_destination", f"""{BOTH} SELECT zdo.zone AS dropoff_zone, count(*) AS trips
  FROM trips JOIN zones zpu ON pickup_id = zpu.location_id JOIN zones zdo ON dropoff_id = zdo.location_id
- WHERE zpu.zone = 'NATION_3' AND pickup >= '1996-06-01' AND pickup < '1996-07-01'
+ WHERE zpu.zone = 'NATION_3' AND pickup >= '1996-01-01' AND pickup < '1997-01-01'
  GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""")
 def popular_destination(data: Data):
-    trips = from_zone(data, "NATION_3", "pickup").filter(times.within("pickup", "1996-06-01", "1996-07-01"))
+    trips = from_zone(data, "NATION_3", "pickup").filter(times.within("pickup", "1996-01-01", "1997-01-01"))
     return reports.top(reports.counts_by(trips, "dropoff_zone"), [F.desc("trips"), F.col("dropoff_zone")], 1)
 
 

@@ -22,6 +22,7 @@ EVENT = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("value", T.DoubleType())])
 COLUMNS = EVENT.fieldNames()
+WINDOW_KEY = ("window_start", "window_end", "user_id")
 
 
 def stream(data: Data) -> DataFrame:
@@ -82,7 +83,7 @@ def hourly(frame: DataFrame) -> DataFrame:
 
 @query("stream_tumble", TUMBLE)
 def stream_tumble(data: Data):
-    return run.complete(hourly(stream(data)), "tumble")
+    return run.upsert(hourly(stream(data)), "tumble", WINDOW_KEY)
 
 
 @query("tumble_batch", TUMBLE)
@@ -93,7 +94,7 @@ def tumble_batch(data: Data):
 @query("window_rollup", f"""SELECT window_start, count(*) AS locations, CAST(sum(n) AS BIGINT) AS trips,
  CAST(sum(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS revenue FROM ({TUMBLE}) GROUP BY 1""")
 def window_rollup(data: Data):
-    windows = run.complete(hourly(stream(data)), "rollup")
+    windows = run.upsert(hourly(stream(data)), "rollup", WINDOW_KEY)
     return windows.groupBy("window_start").agg(
         F.count("*").alias("locations"), F.sum("n").alias("trips"),
         F.sum(F.col("amount").cast("decimal(18,4)")).cast("double").alias("revenue"))
@@ -115,7 +116,7 @@ HOP = """SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, user_id, c
 @query("stream_hop", HOP)
 def stream_hop(data: Data):
     hops = aggregates.windowed(stream(data), "ts", "1 hour", ["user_id"], slide="15 minutes", late="5 seconds")
-    return run.complete(hops, "hop")
+    return run.upsert(hops, "hop", WINDOW_KEY)
 
 
 @query("peak_sliding_hour", f"""SELECT window_start, CAST(sum(n) AS BIGINT) AS n FROM ({HOP}) GROUP BY 1
@@ -158,7 +159,7 @@ HOURLY_TOTAL = """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, CAST(
 @query("stream_hourly_total", HOURLY_TOTAL)
 def stream_hourly_total(data: Data):
     windows = aggregates.windowed(stream(data), "ts", "1 hour", amount="value", late="5 seconds")
-    return run.complete(windows, "hourly-total").drop("window_end")
+    return run.upsert(windows, "hourly-total", ["window_start"]).drop("window_end")
 
 
 @query("best_hour", f"SELECT * FROM ({HOURLY_TOTAL}) ORDER BY amount DESC, window_start LIMIT 1")
@@ -265,7 +266,7 @@ def stream_upsert_windows(data: Data):
 def stream_window_grace(data: Data):
     windows = aggregates.windowed(stream(data), "ts", "10 seconds", ["user_id"], late="5 seconds")
     key = F.concat(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"), F.lit("@"), F.col("user_id"))
-    return run.complete(windows, "grace").select(key.alias("windowed_key"), "n")
+    return run.upsert(windows, "grace", WINDOW_KEY).select(key.alias("windowed_key"), "n")
 
 
 @query("stream_window_retention", """SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, event_type, count(*) AS n

@@ -19,14 +19,17 @@ def topic(spark: SparkSession, servers: str, name: str, start: str = "earliest",
 
 
 def folder(spark: SparkSession, path: str, schema: T.StructType | None = None,
-           format_name: str = "parquet", start: str = "earliest", **options: str) -> DataFrame:
-    """Stream over the files of a folder; ``start="latest"`` skips the files already there."""
+           format_name: str = "parquet", since: str | None = None, **options: str) -> DataFrame:
+    """Stream over the files of a folder, from the earliest one or from those written after ``since``.
+
+    ``since`` is a fixed time, so that a restarted stream means the same files by it.
+    """
     if schema is None:
         schema = spark.read.format(format_name).load(path).schema
-    if start == "latest":
-        now = spark.range(1).select(F.current_timestamp()).first()[0]
-        options["modifiedAfter"] = now.strftime("%Y-%m-%dT%H:%M:%S")
-    return spark.readStream.format(format_name).schema(schema).options(**options).load(path)
+    stream = spark.readStream.format(format_name).schema(schema).options(**options).load(path)
+    if since is None:
+        return stream
+    return stream.filter(F.col("_metadata.file_modification_time") > F.lit(since).cast("timestamp"))
 
 
 def as_messages(df: DataFrame, key: str, columns: Sequence[str], text: str = "json",
