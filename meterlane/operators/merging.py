@@ -62,17 +62,20 @@ def scd2(history: DataFrame, current: DataFrame, key: str, tracked: Sequence[str
     """Type-2 history: close versions that changed or vanished, open new ones.
 
     ``history`` has the key, the tracked columns, ``valid_from`` and ``valid_to``
-    (null while a version is open); ``current`` has one row per key.
+    (null while a version is open); ``current`` has one row per key. Open versions
+    are unique per key as well, so one outer join compares both sides.
     """
-    columns = [key, *tracked]
+    order = [key, *tracked, "valid_from", "valid_to"]
     is_open = F.col("valid_to").isNull()
-    old = history.filter(is_open).withColumn("__hash", row_hash(*tracked))
-    now = current.select(*columns).withColumn("__hash", row_hash(*tracked))
-    same = now.select(F.col(key), F.col("__hash"))
-    kept = old.join(same, [key, "__hash"], "left_semi")
-    ended = old.join(same, [key, "__hash"], "left_anti").withColumn("valid_to", at)
-    opened = (now.join(old.select(key, "__hash"), [key, "__hash"], "left_anti")
-              .withColumn("valid_from", at).withColumn("valid_to", F.lit(None).cast("timestamp_ntz")))
-    order = [*columns, "valid_from", "valid_to"]
-    parts = [history.filter(~is_open), kept, ended, opened]
-    return stacked_loosely(*[p.select(*order) for p in parts])
+    old = history.filter(is_open).select(key, F.struct(*order).alias("old"),
+                                         row_hash(*tracked).alias("old_hash"))
+    never = F.lit(None).cast(history.schema["valid_to"].dataType)
+    version = F.struct(key, *tracked, at.alias("valid_from"), never.alias("valid_to"))
+    now = current.select(key, version.alias("now"), row_hash(*tracked).alias("now_hash"))
+    both = old.join(now, key, "outer")
+    same = F.coalesce(F.col("old_hash") == F.col("now_hash"), F.lit(False))
+    kept_or_closed = F.when(same, F.col("old")).when(F.col("old").isNotNull(),
+                                                     F.col("old").withField("valid_to", at))
+    opened = F.when(~same & F.col("now").isNotNull(), F.col("now"))
+    versions = both.select(F.inline(F.array_compact(F.array(kept_or_closed, opened))))
+    return history.filter(~is_open).select(*order).unionByName(versions)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from meterlane.operators.merging import missing_rows, newer_than_target, upsert
 from meterlane.session import broadcast_if_small, materialize
 
+# Up to this many partition values are put into a filter.
+PARTITION_LIST_LIMIT = 10_000
+
 
 def write_files(df: DataFrame, path: str, files: int, **options: str) -> None:
     """Parquet with a chosen number of files."""
@@ -113,12 +116,25 @@ def merge_partitions(df: DataFrame, path: str, keys: Sequence[str], by: str) ->
     if by not in keys:
         raise ValueError(f"the partition column {by!r} must be part of the key")
     target = df.sparkSession.read.parquet(path)
-    touched = broadcast_if_small(df.select(by).distinct())
-    merged = upsert(target.join(touched, by, "left_semi"), df, keys)
+    merged = upsert(_partitions_of(target, df, by), df, keys)
     write_partitioned(materialize(merged, "merge-partitions"), path, [by])
     return df.sparkSession.read.parquet(path)
 
 
+def _partitions_of(target: DataFrame, df: DataFrame, by: str) -> DataFrame:
+    """The target's rows in the partitions that ``df`` has rows for.
+
+    The list of partitions becomes a filter on the partition column, so the scan
+    opens no other folder; a very long list becomes a semi-join instead.
+    """
+    touched = df.select(F.col(by).alias("__touched")).distinct()
+    values = [row[0] for row in touched.limit(PARTITION_LIST_LIMIT + 1).collect()]
+    if len(values) <= PARTITION_LIST_LIMIT:
+        named = F.col(by).isin([v for v in values if v is not None])
+        return target.filter(named | F.col(by).isNull() if None in values else named)
+    return target.join(touched, F.col(by).eqNullSafe(F.col("__touched")), "left_semi")
+
+
 def load_newer(source: DataFrame, path: str, time: str, keys: Sequence[str]) -> DataFrame:
     """Incremental model: rows beyond the target's newest time, merged by key."""
     target = source.sparkSession.read.parquet(path)

@@ -78,6 +78,17 @@ def files_of(spark, path):
     return set(spark.read.parquet(path).inputFiles())
 
 
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_merge_partitions_keeps_rows_without_partition(spark, monkeypatch, limit):
+    monkeypatch.setattr(tables, "PARTITION_LIST_LIMIT", limit)
+    path = new_path(spark, "null-part")
+    rows = "id long, p string"
+    tables.write_partitioned(spark.createDataFrame([(1, None), (2, "a"), (3, "b")], rows), path, ["p"])
+    merged = tables.merge_partitions(spark.createDataFrame([(9, None), (2, "a"), (4, "a")], rows), path, ["id", "p"], "p")
+    assert sorted((r["id"], r["p"]) for r in merged.fillna("-").collect()) == [
+        (1, "-"), (2, "a"), (3, "b"), (4, "a"), (9, "-")]
+
+
 def test_merge_partitions_needs_partition_in_key(spark):
     with pytest.raises(ValueError):
         tables.merge_partitions(spark.range(1), "nowhere", ["id"], "p")
