@@ -121,13 +121,18 @@ def attributions(weights: Mapping[str, float], means: Mapping[str, float], k: in
 
     A share is weight x (value - mean of the feature); ties are ordered by name.
     """
-    parts = [F.struct((-F.abs(_share(c, w, means[c]))).alias("rank"), F.lit(c).alias("feature"),
+    parts = [F.struct(_strength(_share(c, w, means[c])).alias("rank"), F.lit(c).alias("feature"),
                       _share(c, w, means[c]).alias("attribution")) for c, w in weights.items()]
-    first = F.slice(F.array_sort(F.array(*parts)), 1, k)
+    first = F.slice(F.sort_array(F.array(*parts)), 1, k)
     return F.transform(first, lambda s: F.struct(s["feature"].alias("feature"),
                                                  s["attribution"].alias("attribution")))
 
 
+def _strength(share: Column) -> Column:
+    """Sorts the largest share first and a missing one last."""
+    return F.coalesce(-F.abs(share), F.lit(0.0))
+
+
 def _share(column: str, weight: float, mean_value: float) -> Column:
     return F.lit(float(weight)) * (F.col(column).cast("double") - F.lit(float(mean_value)))
 
@@ -146,22 +151,17 @@ def model_attributions(model: PipelineModel, df: DataFrame, k: int) -> DataFrame
     predicted = model.transform(df)
     centre = predicted.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
     fitted = model.stages[-1]
-    names = [a["name"] for group in
-             predicted.schema["features"].metadata["ml_attr"]["attrs"].values() for a in
-             sorted(group, key=lambda a: a["idx"])]
-    order = [a["idx"] for group in
-             predicted.schema["features"].metadata["ml_attr"]["attrs"].values() for a in
-             sorted(group, key=lambda a: a["idx"])]
-    named = {i: n for i, n in zip(order, names)}
+    groups = predicted.schema["features"].metadata["ml_attr"]["attrs"].values()
+    named = {a["idx"]: a["name"] for group in groups for a in group}
     weights = F.array(*[F.lit(float(w)) for w in fitted.coefficients.toArray()])
     means = F.array(*[F.lit(float(m)) for m in centre])
     labels = F.array(*[F.lit(named[i]) for i in range(len(centre))])
     values = vector_to_array("features")
     shares = F.transform(values, lambda v, i: F.struct(
-        (-F.abs(F.get(weights, i) * (v - F.get(means, i)))).alias("rank"),
+        _strength(F.get(weights, i) * (v - F.get(means, i))).alias("rank"),
         F.get(labels, i).alias("feature"),
         (F.get(weights, i) * (v - F.get(means, i))).alias("attribution")))
-    strongest = F.transform(F.slice(F.array_sort(shares), 1, k),
+    strongest = F.transform(F.slice(F.sort_array(shares), 1, k),
                             lambda s: F.struct(s["feature"].alias("feature"),
                                                s["attribution"].alias("attribution")))
     return predicted.withColumn("top_attributions", strongest)

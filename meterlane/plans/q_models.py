@@ -139,7 +139,7 @@ def vector_topk(data: Data):
     means = parts.groupBy("label", "pos").agg(F.avg(F.col("v").cast("double")).alias("c"))
     # One entry per dimension: the length of a vector bounds the list.
     centres = means.groupBy(F.col("label").alias("query_id")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda s: s["c"]).alias("centre"))
+        F.sort_array(F.collect_list(F.struct("pos", "c")))["c"].alias("centre"))
     return similarity.nearest(vectors, "vec_id", "embedding", centres, "query_id", "centre", 5)
 
 

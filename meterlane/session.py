@@ -29,6 +29,7 @@ RUNTIME_SETTINGS = {
 BROADCAST_ROW_LIMIT = 100_000
 
 _local_scratch: str | None = None
+_intermediate: list[str] = []
 
 
 def build_session(app_name: str = "meterlane", master: str | None = None,
@@ -80,20 +81,31 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: whatever reads the result twice sees identical rows, also
     after executors were lost and tasks re-run.
     """
     path = new_path(df.sparkSession, label)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.parquet(path)
+    _intermediate.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Empty all intermediate tables written so far; returns how many.
+
+    To be called once the results built on them have been stored: frames that still
+    read them find no rows afterwards.
+    """
+    released = 0
+    while _intermediate:
+        spark.range(0).write.mode("overwrite").parquet(_intermediate.pop())
+        released += 1
+    return released
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` has at most ``limit`` rows.
 

@@ -18,7 +18,7 @@ from meterlane.streaming.aggregates import watermarked
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A key's rows are spread over this many state entries, so that no task owns a hot key.
-SALTS = 8
+SALTS = 4
 
 
 def deduplicated(df: DataFrame, ids: list[str], time: str, late: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlane.operators import merging
-from meterlane.session import broadcast_if_small, new_path, shared_root
+from meterlane.session import broadcast_if_small, materialize, new_path, release, shared_root
 from meterlane.sinks import tables
 from meterlane.sources import cursor, files, relational
 
@@ -184,6 +184,13 @@ def test_shared_root_follows_the_setting(spark):
     assert wanted is None or shared_root(spark) == wanted.rstrip("/")
 
 
+def test_released_intermediate_tables_are_empty(spark):
+    stored = materialize(spark.range(5), "release")
+    folder = stored.inputFiles()[0].rsplit("/", 1)[0]
+    assert release(spark) >= 1 and release(spark) == 0
+    assert spark.read.parquet(folder).count() == 0
+
+
 def test_jdbc_options():
     options = relational.read_options("jdbc:x", "t", "id", 0, 100, 4)
     assert options["numPartitions"] == "4" and options["partitionColumn"] == "id"
