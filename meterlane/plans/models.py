@@ -25,7 +25,7 @@ def trips_enriched(unioned: DataFrame, payment_types: DataFrame) -> DataFrame:
                 .withColumn("payment_type", code)
                 .withColumn("payment_type_description", F.coalesce("description", F.lit(labels.PAYMENT_DEFAULT)))
                 .drop("description", "payment_code"))
-    # The reference orders by drop-off only; further columns make the choice repeatable.
+    # Earliest drop-off first; the other columns make the choice among ties repeatable.
     order = [F.col(c).asc_nulls_last() for c in ("dropoff", "order_key", "distance", "fare")]
     return cleaning.first_per_key(labelled, trip_key, order)
 

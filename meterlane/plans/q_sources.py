@@ -123,17 +123,13 @@ def external_vs_native_counts(data: Data):
     name = new_path(data.spark, "t").rsplit("-", 1)[1]
     stored = new_path(data.spark, "lake")
     data.table("lineitem").write.parquet(stored)
-    external = files_table(data, f"external_{name}", stored)
+    external = tables.external_table(data.spark, f"external_{name}", stored)
     tables.create_table(external, f"native_{name}", new_path(data.spark, "native"))
     counts = [frame.agg(F.count("*").alias("n")).select(F.lit(tag).alias("source"), "n")
               for tag, frame in (("external", external), ("native", data.spark.table(f"native_{name}")))]
     return reduce(DataFrame.unionAll, counts)
 
 
-def files_table(data: Data, name: str, path: str) -> DataFrame:
-    return tables.external_table(data.spark, name, path)
-
-
 @query("csv_extra_columns", "SELECT o_orderkey, o_orderpriority FROM orders")
 def csv_extra_columns(data: Data):
     path = csv(data, data.table("orders"), "csv")
