@@ -9,7 +9,7 @@ Two texts link when ``size * intersection >= share * union`` of their n-gram set
 3. Each class orders its n-grams rare first. A text can only link if all but a few of its
    n-grams are shared, so most texts end here; the others keep their prefix.
 4. Candidates share a prefix n-gram and pass the length, positional and suffix filters.
-   In a first part each n-gram's posting list is compared with one pivot, as often as that
+   In a first part each n-gram's posting list is compared with a few pivots, as often as that
    joins components; posting lists of one component need no more pairs. What is left, texts
    of different components that share a prefix n-gram, is compared pair by pair: no link
    between components can be missed, and a group of k near copies costs about k pairs.
@@ -33,6 +33,8 @@ from meterlane.session import materialize, slice_count
 
 # n-grams of the texts that one task holds while frequencies are exchanged.
 CHUNK_GRAMS = 2_500_000
+# Pivots that a posting list is compared with in a turn.
+PIVOTS = 8
 # Cells of the suffix filter.
 CELLS = 16
 
@@ -293,12 +295,14 @@ def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
         waiting, postings = _pending(rows)
         few = few or 8 * postings
         # Comparing all that wait is cheap enough, or pivots have stopped making them fewer.
-        if waiting <= few or waiting > before / 2:
+        if waiting <= few or waiting > 0.9 * before:
             break
         before = waiting
-        pivot = rows.groupBy("gram").agg(
+        # Each n-gram's pivots are drawn anew, so that a text meets many texts of its group.
+        drawn = F.xxhash64("gram", "node", F.lit(turn))
+        pivot = rows.groupBy("gram", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(PIVOTS)).alias("part")).agg(
             F.min_by(F.struct(F.col("node").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"),
-                              F.col("comp").alias("c")), F.xxhash64("comp", "node", F.lit(turn))).alias("p"))
+                              F.col("comp").alias("c")), drawn).alias("p"))
         pairs = rows.join(pivot, "gram").select("node", "n", "pos", "comp", "p.*").filter("comp != c")
         found = materialize(_verified(_passing(pairs, share, size), sets, share, size), "links")
         if found.isEmpty():
