@@ -54,8 +54,9 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None
     spark = docs.sparkSession
     folder = folder or new_path(spark, "token-files")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
-    written = (rows.repartitionByRange(slice_count(spark), *order).sortWithinPartitions(*order)
+    # Cut points are sampled on the driver: ids only, no text.
+    order = F.col("doc_id").asc_nulls_last()
+    written = (rows.repartitionByRange(slice_count(spark), order).sortWithinPartitions(order, "text")
                .mapInArrow(partial(_write, tokenizer=tokenizer, end_id=end_id, folder=folder),
                            "path string, part int, n_docs long, n_ids long"))
     manifest = materialize(written, "token-manifest")
