@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlane.llm.words import portions
+from meterlane.session import materialize
 
 # A token belongs to the template if at least this share of the host's pages has it, and
 # at least so many pages.
@@ -180,10 +181,11 @@ def templates(pages: DataFrame) -> DataFrame:
     tokens is an array of (token, path, class, chars); the token count of a host's template is
     bounded by that of a page, as each of them is on half of the pages.
     """
-    counted = (pages.mapInArrow(_count, "host string, token long, path string, vector long, pages long, times long, chars long")
-               .groupBy("host", "token").agg(
-                   F.min("path").alias("path"), F.expr("bit_xor(vector)").alias("mixed"), F.sum("pages").alias("pages"),
-                   F.sum("times").alias("times"), F.sum("chars").alias("chars")))
+    counted = materialize(
+        pages.mapInArrow(_count, "host string, token long, path string, vector long, pages long, times long, chars long")
+        .groupBy("host", "token").agg(
+            F.min("path").alias("path"), F.expr("bit_xor(vector)").alias("mixed"), F.sum("pages").alias("pages"),
+            F.sum("times").alias("times"), F.sum("chars").alias("chars")), "page-tokens")
     total = counted.filter("token = 0").select("host", F.col("pages").alias("all_pages"))
     frequent = counted.filter(F.col("token") != 0).join(total, "host").filter(
         (F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("all_pages")))
@@ -289,7 +291,10 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
     rows = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"),
                         F.col(html_column).cast("string").alias("html"))
     hosted = rows.withColumn("host", host_column())
-    known = templates(hosted.select("host", F.xxhash64("page_id", "html").alias("page"), "html"))
+    # Written, so that its size is known: a small table is broadcast, and beside a large one the
+    # pages of a hot host are split.
+    known = materialize(templates(hosted.select("host", F.xxhash64("page_id", "html").alias("page"), "html"))
+                        .select("host", "tokens"), "templates")
     kinds = dict(rows.dtypes)
     return hosted.join(known, "host", "left").select("page_id", "url", "html", "host", "tokens").mapInArrow(
         _extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
