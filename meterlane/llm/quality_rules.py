@@ -59,8 +59,10 @@ def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
 def log_ratio(rows: DataFrame, target: DataFrame) -> np.ndarray:
     """log(target / raw) of each cell; as many numbers as there are cells, whatever the corpus."""
-    marked = rows.filter("doc_id IS NOT NULL").join(target.withColumn("good", F.lit(True)), "doc_id", "left") \
-        .select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    # Labels grow with the corpus: they are merged at every size, never broadcast.
+    good = target.withColumn("good", F.lit(True)).hint("merge")
+    marked = rows.filter("doc_id IS NOT NULL").join(good, "doc_id", "left").select(
+        "text", F.coalesce("good", F.lit(False)).alias("good"))
     unnamed = rows.filter("doc_id IS NULL").select("text", F.lit(False).alias("good"))
     counted = (marked.union(unnamed).mapInArrow(_count, "cell int, raw long, good long")
                .groupBy("cell").agg(F.sum("raw"), F.sum("good")).toPandas().to_numpy())
