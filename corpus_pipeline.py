@@ -10,27 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlane.llm import jaccard, mixing, packing, pii, toxicity
+from meterlane.llm import jaccard, mixing, packing, pii, prepared, toxicity
 from meterlane.llm.queries import VOCABULARY
-from meterlane.session import materialize, prepare
+from meterlane.session import materialize
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic; null and empty texts stay."""
-    labels = prepare(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels)
     return docs.filter(toxicity.score_column(model) < 0.5)
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    prepare(spark)
+    prepared(spark)
     return jaccard.one_of_each(docs, n=5, share=80)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with surrogates for personal data; n_chars follows the text."""
-    prepare(spark)
+    prepared(spark)
     replaced = pii.replace_entities(docs)
     if "n_chars" not in docs.columns:
         return replaced
@@ -40,7 +40,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; whole ones, so no text is cut. Texts without
     words have nothing to take and go."""
-    prepare(spark)
+    prepared(spark)
     rows = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     taken = mixing.repetitions(rows, whole_documents=True, keep=("row",)).filter("size > 0")
     times = F.array_repeat(F.lit(0), (F.col("taken") / F.col("size")).cast("int"))
@@ -49,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 tokens."""
-    prepare(spark)
+    prepared(spark)
     return packing.pack(docs, VOCABULARY, end_id=0)
 
 
@@ -62,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

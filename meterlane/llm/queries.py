@@ -5,14 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlane.llm import frames, html, jaccard, licences, mixing, packing, pii, quality_rules, simhash, toxicity
-from meterlane.session import prepare
+from meterlane.llm import (
+    frames, html, jaccard, licences, mixing, packing, pii, prepared, quality_rules, simhash, toxicity)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,9 +19,9 @@ import pyarrow as pa
 from meterlane.llm.words import text_bytes
 
 # Pieces kept between batches; beyond it the store starts anew.
-STORE_PIECES = 1_000_000
+STORE_PIECES = 500_000
 # Bytes of text in a portion: the larger, the fewer distinct pieces a byte.
-PORTION_BYTES = 16 << 20
+PORTION_BYTES = 6 << 20
 
 # A cut is made before 0x20 or 0x0A if the next byte is visible ASCII or a lead byte that
 # can't begin a Unicode white space character (those begin with C2, E1, E2 or E3).

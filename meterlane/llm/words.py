@@ -2,7 +2,7 @@
 
 A word is a run of bytes other than space and ``\\t\\n\\v\\f\\r``. UTF-8 keeps those six
 bytes for themselves, so bytes can be looked at instead of code points. Work goes on in
-portions of a few MB of text, however many rows a batch has; only a single text that is
+portions of about a MB of text, however many rows a batch has; only a single text that is
 larger than a portion makes a larger one.
 """
 
@@ -15,8 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# Large buffers go back to the system when they are free; a worker outlives its task.
+pa.set_memory_pool(pa.system_memory_pool())
+
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-PORTION_BYTES = 4 << 20
+PORTION_BYTES = 1 << 20
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
