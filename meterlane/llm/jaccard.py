@@ -32,7 +32,7 @@ from meterlane.llm.words import distinct_sets, mixed, ngrams, portions, text_byt
 from meterlane.session import materialize, slice_count
 
 # n-grams of the texts that one task holds while frequencies are exchanged.
-CHUNK_GRAMS = 2_500_000
+CHUNK_GRAMS = 2_000_000
 # Pivots that a posting list is compared with in a turn.
 PIVOTS = 8
 # Cells of the suffix filter.
@@ -356,14 +356,14 @@ def _passing(pairs: DataFrame, share: int, size: int) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, share: int, size: int) -> DataFrame:
     """The pairs that link. The suffix filter bounds the intersection by the n-grams that
     both have in each cell of the n-gram space; what passes is intersected."""
-    left = sets.select("node", "n", "cells", "grams")
-    right = sets.select(F.col("node").alias("other"), F.col("n").alias("m"), F.col("cells").alias("d"),
-                        F.col("grams").alias("h"))
-    joined = pairs.join(left, "node").join(right, "other")
+    slim = sets.select("node", "n", "cells")
+    met = pairs.join(slim, "node").join(slim.toDF("other", "m", "d"), "other")
     bound = F.aggregate(F.zip_with("cells", "d", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    total = share * (F.col("n") + F.col("m"))
-    return (joined.filter(bound * (share + size) >= total)
-            .filter(F.size(F.array_intersect("grams", "h")) * (share + size) >= total).select("node", "other"))
+    needed = share * (F.col("n") + F.col("m"))
+    near = met.filter(bound * (share + size) >= needed).select("node", "other", "n", "m")
+    whole = sets.select("node", "grams")
+    joined = near.join(whole, "node").join(whole.toDF("other", "h"), "other")
+    return joined.filter(F.size(F.array_intersect("grams", "h")) * (share + size) >= needed).select("node", "other")
 
 
 def _merged(rows: DataFrame, found: DataFrame) -> DataFrame:
