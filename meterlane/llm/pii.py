@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlane.session import materialize
+from meterlane.session import materialize, slice_count
 
 KEY = "surrogates-1"
 
@@ -81,7 +81,7 @@ def _replacements(lists: DataFrame, key: str) -> DataFrame:
     mentions = lists.select("mentions", F.posexplode("entities").alias("pos", "entity"))
     typed = mentions.withColumn("type", kind_of(F.col("entity"))).withColumn("canon", canonical(F.col("entity"), F.col("type")))
     digests = entity_digests(typed.select("type", "canon").distinct(), key)
-    laid = typed.join(digests, ["type", "canon"]).withColumn(
+    laid = typed.join(digests, ["type", "canon"]).repartition(slice_count(lists.sparkSession), "mentions").withColumn(
         "surrogate", rendered(F.col("entity"), F.col("type"), F.col("digest")))
     return laid.groupBy("mentions").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "surrogate"))), lambda x: x["surrogate"]).alias("surrogates"))
@@ -93,11 +93,15 @@ def entity_digests(entities: DataFrame, key: str = KEY) -> DataFrame:
     Only entities that collide are drawn again, so turns get short at once; with n entities
     and s possible surrogates a turn leaves about n / s of them.
     """
+    # Few bytes, but much to compute: a set number of partitions, which are not merged.
+    slices = slice_count(entities.sparkSession)
     tries = entities.withColumn("attempt", F.lit(0))
     while True:
-        drawn = tries.withColumn("digest", F.sha2(F.concat_ws("\x00", F.lit(key), "type", "canon", F.col("attempt").cast("string")), 256))
-        drawn = materialize(drawn.withColumn("form", canonical(
-            rendered(_plain(F.col("canon"), F.col("type")), F.col("type"), F.col("digest")), F.col("type"))), "surrogates")
+        drawn = tries.repartition(slices, F.xxhash64("type", "canon")).withColumn("digest", F.sha2(F.concat_ws("\x00", F.lit(key), "type", "canon", F.col("attempt").cast("string")), 256))
+        # Step by step, so that no expression holds copies of another.
+        drawn = drawn.withColumn("mention", _plain(F.col("canon"), F.col("type")))
+        drawn = drawn.withColumn("made", rendered(F.col("mention"), F.col("type"), F.col("digest")))
+        drawn = materialize(drawn.withColumn("form", canonical(F.col("made"), F.col("type"))).drop("mention", "made"), "surrogates")
         # The smallest entity of a form keeps it, unless the form is an entity itself.
         owner = drawn.groupBy("type", "form").agg(F.min("canon").alias("owner"), F.count("*").alias("n"))
         clash = (owner.join(drawn.select("type", F.col("canon").alias("form"), F.lit(True).alias("real")), ["type", "form"], "left")
