@@ -50,7 +50,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     scored = materialize(rows.mapInArrow(
         partial(_score, ratio=ratio), f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS)}, score double"), "scores")
     held = scored.filter(in_held_out()).join(known, "doc_id")
-    means = held.agg(*[F.avg(F.when(F.col("quality") == q, F.col("score"))) for q in (0, 1)]).first()
+    means = tuple(held.agg(*[F.avg(F.when(F.col("quality") == q, F.col("score"))) for q in (0, 1)]).first())
     threshold = 0.0 if None in means else (means[0] + means[1]) / 2
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return scored.select("doc_id", *COUNTS, failed.alias("base_failed"),

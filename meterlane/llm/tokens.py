@@ -19,9 +19,11 @@ import pyarrow as pa
 from meterlane.llm.words import text_bytes
 
 # Pieces kept between batches; beyond it the store starts anew.
-STORE_PIECES = 500_000
+STORE_PIECES = 300_000
 # Bytes of text in a portion: the larger, the fewer distinct pieces a byte.
-PORTION_BYTES = 6 << 20
+PORTION_BYTES = 3 << 20
+# New pieces tokenised at once.
+NEW_PIECES = 10_000
 
 # A cut is made before 0x20 or 0x0A if the next byte is visible ASCII or a lead byte that
 # can't begin a Unicode white space character (those begin with C2, E1, E2 or E3).
@@ -124,8 +126,8 @@ class Encoder:
             if len(self.known) > STORE_PIECES:
                 self._clear()
             new = [p for p in pieces if p not in self.known]
-            if new:
-                self._learn(new)
+            for at in range(0, len(new), NEW_PIECES):
+                self._learn(new[at:at + NEW_PIECES])
             slot = np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))
             begin, size = self.ends[slot], self.ends[slot + 1] - self.ends[slot]
             code = coded.indices.to_numpy(zero_copy_only=False)
