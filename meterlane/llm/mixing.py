@@ -72,7 +72,8 @@ def repetitions(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...]
     size = F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
     name = F.col(source_column).cast("string")
     sized = docs.select(
-        F.col(id_column).alias("doc_id"), name.alias("source"), size.alias("size"), *keep,
+        F.col(id_column).alias("doc_id"), name.alias("source"), size.alias("size"),
+        *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []),
         F.coalesce(F.concat(F.lit("="), name), F.lit("")).alias("key"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit("")))).alias("draw"))
     if not keep:
@@ -97,7 +98,7 @@ def repetitions(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...]
     left = F.col("extra") - so_far
     part = F.when(2 * left >= F.col("size"), F.when(left > 0, F.col("size")).otherwise(0)).otherwise(0) if whole_documents \
         else F.greatest(F.lit(0), F.least(left, F.col("size")))
-    return joined.select("doc_id", *keep, "size", "source_size", "target",
+    return joined.select("doc_id", *(["kept.*"] if keep else []), "size", "source_size", "target",
                          (F.col("size") * F.col("times") + part).cast("long").alias("taken"))
 
 
