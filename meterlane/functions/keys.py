@@ -34,11 +34,12 @@ def base_id(col: Column | str) -> Column:
 @F.pandas_udf(T.StringType())
 def base_id_udf(codes: pd.Series) -> pd.Series:
     """The same id computed in Python on Arrow batches, for comparison."""
-    numbers = codes.str.slice(1).astype("int64")
-    prefix = pd.Series("e/", index=codes.index)
+    known = codes.dropna()
+    numbers = known.str.slice(1).astype("int64")
+    prefix = pd.Series("e/", index=known.index)
     prefix[numbers % 3 == 0] = "a/"
     prefix[numbers % 7 == 0] = "s/"
-    return prefix + numbers.map("{:03x}".format)
+    return (prefix + numbers.map("{:03x}".format)).reindex(codes.index).astype(object).where(codes.notna(), None)
 
 
 def _c(col: Column | str) -> Column:

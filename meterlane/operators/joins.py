@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlane.session import broadcast_if_small
 
 
 def with_roles(facts: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str],
@@ -16,7 +15,7 @@ def with_roles(facts: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[st
 
     The columns of the lookup arrive as ``<prefix>_<column>``.
     """
-    small = broadcast_if_small(dim)
+    small = dim
     for prefix, key in roles.items():
         renamed = small.select(*[F.col(c).alias(f"{prefix}_{c}") for c in dim.columns])
         facts = facts.join(renamed, F.col(key) == F.col(f"{prefix}_{dim_key}"), how)
@@ -25,7 +24,7 @@ def with_roles(facts: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[st
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: Column, how: str = "left") -> DataFrame:
-    return facts.join(broadcast_if_small(dim), on, how)
+    return facts.join(dim, on, how)
 
 
 def not_in_either(facts: DataFrame, dim: DataFrame, dim_key: str, keys: Sequence[str]) -> DataFrame:
@@ -36,9 +35,12 @@ def not_in_either(facts: DataFrame, dim: DataFrame, dim_key: str, keys: Sequence
     one equi-join against the distinct non-null ids.
     """
     ids = dim.select(F.col(dim_key).alias("__id")).distinct()
-    if not ids.filter(F.col("__id").isNull()).isEmpty():
+    state = ids.agg(F.count("*"), F.count("__id")).first()
+    if state[0] == 0:  # nothing to be found in: every row qualifies, a null key too
+        return facts
+    if state[0] > state[1]:
         return facts.limit(0)
-    small = broadcast_if_small(ids)
+    small = ids
     result, wanted = facts, F.lit(False)
     for i, key in enumerate(keys):
         flagged = small.select(F.col("__id").alias(f"__id{i}"), F.lit(True).alias(f"__hit{i}"))
@@ -50,7 +52,7 @@ def not_in_either(facts: DataFrame, dim: DataFrame, dim_key: str, keys: Sequence
 
 def only_known(facts: DataFrame, dim: DataFrame, dim_key: str, keys: Sequence[str]) -> DataFrame:
     """Rows all of whose keys occur in the lookup."""
-    ids = broadcast_if_small(dim.select(F.col(dim_key).alias("__id")).distinct())
+    ids = dim.select(F.col(dim_key).alias("__id")).distinct()
     for key in keys:
         facts = facts.join(ids, F.col(key) == F.col("__id"), "left_semi")
     return facts

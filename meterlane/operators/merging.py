@@ -67,13 +67,15 @@ def scd2(history: DataFrame, current: DataFrame, key: str, tracked: Sequence[str
     """
     order = [key, *tracked, "valid_from", "valid_to"]
     is_open = F.col("valid_to").isNull()
-    old = history.filter(is_open).select(key, F.struct(*order).alias("old"),
-                                         row_hash(*tracked).alias("old_hash"))
+    old = history.filter(is_open).select(key, F.struct(*order).alias("old"))
     never = F.lit(None).cast(history.schema["valid_to"].dataType)
     version = F.struct(key, *tracked, at.alias("valid_from"), never.alias("valid_to"))
-    now = current.select(key, version.alias("now"), row_hash(*tracked).alias("now_hash"))
+    now = current.select(key, version.alias("now"))
     both = old.join(now, key, "outer")
-    same = F.coalesce(F.col("old_hash") == F.col("now_hash"), F.lit(False))
+    # Column by column, so that neither a null nor text that moves between columns is missed.
+    same = F.col("old").isNotNull() & F.col("now").isNotNull()
+    for column in tracked:
+        same = same & F.col(f"old.{column}").eqNullSafe(F.col(f"now.{column}"))
     kept_or_closed = F.when(same, F.col("old")).when(F.col("old").isNotNull(),
                                                      F.col("old").withField("valid_to", at))
     opened = F.when(~same & F.col("now").isNotNull(), F.col("now"))

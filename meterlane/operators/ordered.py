@@ -17,14 +17,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlane.session import broadcast_if_small, materialize, slice_count
+from meterlane.session import materialize, slice_count
 
 SLICE, IN_SLICE, POSITION = "__slice", "__in_slice", "__position"
 # monotonically_increasing_id() keeps the row number of a partition in its low 33 bits.
 ROW_BITS = 33
 BLOCK_ROWS = 65_536
-# Up to this many distinct values per group the percentile is computed in one task.
-GROUP_VALUE_LIMIT = 1_000_000
 
 
 def positioned(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -94,18 +92,17 @@ def framed(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
            columns: Mapping[str, "callable"], before: int = 0, after: int = 0) -> DataFrame:
     """Window columns whose frame reaches at most ``before``/``after`` rows.
 
-    Covers LAG, LEAD and moving aggregates. Rows are cut into blocks of fixed
-    length; the few rows at a block's edge are also copied to its neighbour, so
+    Covers LAG, LEAD and moving aggregates. Rows are cut into blocks of a fixed
+    length, the frame's at least; the few rows at a block's edge are also copied to its neighbour, so
     each block can be computed alone. ``columns`` maps a name to a function from
     the window (ordered, without frame) to a column.
     """
-    if max(before, after) > BLOCK_ROWS:
-        raise ValueError(f"the frame may reach at most {BLOCK_ROWS} rows")
+    rows = max(BLOCK_ROWS, before, after)
     laid_out = positioned(df, keys, order)
-    home = F.floor(F.col(POSITION) / BLOCK_ROWS)
-    offset = F.col(POSITION) % BLOCK_ROWS
+    home = F.floor(F.col(POSITION) / rows)
+    offset = F.col(POSITION) % rows
     homes = F.array(home,
-                    F.when(offset >= BLOCK_ROWS - before, home + 1),
+                    F.when(offset >= rows - before, home + 1),
                     F.when(offset < after, home - 1))
     copies = (laid_out.withColumn("__home", home)
               .withColumn("__block", F.explode(F.array_compact(homes))))
@@ -119,27 +116,27 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str,
                 probabilities: Mapping[str, float]) -> DataFrame:
     """Exact continuous percentiles per group (linear interpolation, nulls ignored).
 
-    Equal values are counted before anything else is moved. If no group has more
-    than ``GROUP_VALUE_LIMIT`` distinct values, one task per group can hold them;
-    otherwise the values are ranked in slices and the two neighbours of each
-    percentile are picked by position.
+    Equal values are counted before anything else is moved, the values are ranked in slices
+    and the two neighbours of each percentile are picked by position: one way for groups of
+    any size, with or without keys. A group without values gets nulls.
     """
-    counted = materialize(
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("__n")), "value-counts")
-    widest = counted.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if widest <= GROUP_VALUE_LIMIT:
-        return counted.groupBy(*keys).agg(
-            *[F.percentile(value, F.lit(p), F.col("__n")).alias(name)
-              for name, p in probabilities.items()])
-    return _percentiles_by_position(counted, keys, value, probabilities)
+    if not keys:
+        alone = percentiles(df.withColumn("__all", F.lit(0)), ["__all"], value, probabilities)
+        return alone.drop("__all")
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counted = materialize(counted, "value-counts")
+    found = _percentiles_by_position(counted.filter(F.col(value).isNotNull()), keys, value, probabilities)
+    same = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    groups = counted.select(*keys).distinct()
+    return (groups.join(found.withColumnsRenamed({k: f"__r_{k}" for k in keys}), same, "left")
+            .select(*keys, *probabilities))
 
 
 def _percentiles_by_position(counted: DataFrame, keys: Sequence[str], value: str,
                              probabilities: Mapping[str, float]) -> DataFrame:
     cumulated = running_sum(counted, keys, [F.col(value).asc()], F.col("__n"), "__upto")
     totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    joined = _join_on(cumulated, broadcast_if_small(totals), keys)
+    joined = _join_on(cumulated, totals, keys)
     picks = []
     for name, p in probabilities.items():
         spot = F.lit(float(p)) * (F.col("__total") - 1)
@@ -159,7 +156,7 @@ def _with_key_start(laid_out: DataFrame, keys: Sequence[str]) -> DataFrame:
     starts = laid_out.groupBy(*keys).agg(F.min(POSITION).alias("__first"))
     if not keys:
         return laid_out.withColumn("__first", F.lit(0))
-    return _join_on(laid_out, broadcast_if_small(starts), keys)
+    return _join_on(laid_out, starts, keys)
 
 
 def _running_sum(laid_out: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -171,7 +168,7 @@ def _running_sum(laid_out: DataFrame, keys: Sequence[str], value: str, name: str
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = sums.select(SLICE, *keys, F.sum("__slice_sum").over(earlier).alias("__carried"))
     local = laid_out.withColumn("__local", F.sum(value).over(inside))
-    joined = _join_on(local, broadcast_if_small(carried), (SLICE, *keys))
+    joined = _join_on(local, carried, (SLICE, *keys))
     summed = F.col("__local") + F.coalesce(F.col("__carried"), F.lit(0))
     return joined.withColumn(name, summed).drop("__local", "__carried")
 

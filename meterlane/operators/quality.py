@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlane.session import broadcast_if_small
 
 
 def _result(counted: DataFrame, check: str, target: str) -> DataFrame:
@@ -49,8 +48,10 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    """Rows with a value outside the list; null passes."""
-    return violations(df.filter(~F.col(column).isin(list(values))), column, "accepted_values")
+    """Rows with a value outside the list; a null value passes, a null in the list means nothing."""
+    listed = [v for v in values if v is not None]
+    outside = ~F.col(column).isin(listed) if listed else F.col(column).isNotNull()
+    return violations(df.filter(outside), column, "accepted_values")
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
@@ -60,7 +61,7 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) ->
     """
     counts = (child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("__key"))
               .agg(F.count(F.lit(1)).alias("n")))
-    known = broadcast_if_small(parent.select(F.col(key).alias("__key")).distinct())
+    known = parent.select(F.col(key).alias("__key")).distinct()
     orphans = counts.join(known, "__key", "left_anti").agg(F.sum("n").alias("failures"))
     return _result(orphans, "relationships", column)
 

@@ -22,9 +22,12 @@ SEARCH_PARALLELISM = 2
 
 
 def feature_table(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                  label: str) -> DataFrame:
-    """Typed feature columns; ids become text so they count as categories. Label not zero."""
-    return df.filter(F.col(label) != 0).select(
+                  label: str, nonzero: str) -> DataFrame:
+    """Typed feature columns; ids become text so they count as categories.
+
+    Rows need a label and a value other than zero in ``nonzero``; a label of zero is one.
+    """
+    return df.filter(F.col(label).isNotNull() & (F.col(nonzero) != 0)).select(
         *[F.col(c).cast("double").alias(c) for c in numeric],
         *[F.col(c).cast("string").alias(c) for c in categorical],
         F.col(label).cast("double").alias("label"))

@@ -15,7 +15,6 @@ from meterlane.plans import sqltext
 from meterlane.plans.catalog import query
 from meterlane.plans.sqltext import BOTH
 from meterlane.plans.stand_ins import IS_YELLOW_SQL, Data
-from meterlane.session import broadcast_if_small
 
 ROLES = {"pickup": "pickup_id", "dropoff": "dropoff_id"}
 
@@ -180,7 +179,7 @@ def join_strategy_hints(data: Data):
     results = []
     for hint in ("broadcast", "merge", "shuffle_hash"):
         # Too many suppliers for a broadcast leave that choice to the optimizer.
-        hinted = broadcast_if_small(suppliers) if hint == "broadcast" else suppliers.hint(hint)
+        hinted = suppliers if hint == "broadcast" else suppliers.hint(hint)
         joined = lines.join(hinted, F.col("l_suppkey") == F.col("s_suppkey"))
         results.append(joined.groupBy(F.lit(hint).alias("hint"), "s_nationkey").agg(
             F.count("*").alias("trips"), total("l_extendedprice").alias("revenue")))

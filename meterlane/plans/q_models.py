@@ -18,12 +18,13 @@ CATEGORICAL = ["pickup_id", "payment_type"]
 
 def features(data: Data):
     trips = data.trips(*NUMERIC, *CATEGORICAL, "tip", "order_key")
-    return regression.feature_table(trips.filter("pickup_id IS NOT NULL"), [*NUMERIC, "order_key"], CATEGORICAL, "tip")
+    return regression.feature_table(trips.filter("pickup_id IS NOT NULL"), [*NUMERIC, "order_key"], CATEGORICAL, "tip",
+                                    nonzero="fare")
 
 
 FEATURES = f"""{TRIPS}, f AS (SELECT CAST(passenger_count AS DOUBLE) AS passenger_count, distance,
  CAST(fare AS DOUBLE) AS fare, CAST(order_key AS DOUBLE) AS order_key, CAST(pickup_id AS VARCHAR) AS pickup_id,
- payment_type, CAST(tip AS DOUBLE) AS label FROM trips WHERE pickup_id IS NOT NULL AND tip <> 0)"""
+ payment_type, CAST(tip AS DOUBLE) AS label FROM trips WHERE pickup_id IS NOT NULL AND tip IS NOT NULL AND fare <> 0)"""
 
 
 @query("ml_feature_table", f"{FEATURES} SELECT * FROM f")

@@ -1,4 +1,4 @@
-"""Session settings, the shared scratch folder and size-checked broadcasts."""
+"""Session settings, the shared scratch folder and written intermediate tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every operator relies on; all can be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -25,9 +24,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# A lookup table above this many rows is never broadcast by our own hint.
-BROADCAST_ROW_LIMIT = 100_000
-
 _local_scratch: str | None = None
 _intermediate: list[str] = []
 
@@ -62,6 +58,8 @@ def shared_root(spark: SparkSession) -> str:
     global _local_scratch
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
+        if "://" not in root and not root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name its file system, as in hdfs://host/folder")
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -104,12 +102,3 @@ def release(spark: SparkSession) -> int:
         spark.range(0).write.mode("overwrite").parquet(_intermediate.pop())
         released += 1
     return released
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``limit`` rows.
-
-    Beyond the limit the frame is returned unhinted: the optimizer then plans a
-    sort-merge join, whose skewed partitions AQE splits.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlane.operators.merging import missing_rows, newer_than_target, upsert
-from meterlane.session import broadcast_if_small, materialize
+from meterlane.session import materialize
 
 # Up to this many partition values are put into a filter.
 PARTITION_LIST_LIMIT = 10_000
@@ -164,6 +164,6 @@ def backfill(df: DataFrame, path: str, by: str, done: DataFrame | None) -> DataF
 
     ``done`` lists the partitions present; the wanted ones follow from ``df``.
     """
-    todo = df if done is None else df.join(broadcast_if_small(done.select(by).distinct()), by, "left_anti")
+    todo = df if done is None else df.join(done.select(by).distinct(), by, "left_anti")
     write_partitioned(todo, path, [by])
     return df.sparkSession.read.parquet(path)

@@ -68,9 +68,10 @@ def with_source_file(df: DataFrame, name: str = "filename") -> DataFrame:
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
-    return (df.select(F.col("_metadata.file_name").alias("filename"),
+    """One row per file; files of one name in several folders are several files."""
+    return (df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("filename"),
                       F.col("_metadata.file_size").alias("bytes"))
-            .groupBy("filename", "bytes").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy("path", "filename", "bytes").agg(F.count(F.lit(1)).alias("n")).drop("path"))
 
 
 def partition_stats(df: DataFrame, by: str) -> DataFrame:

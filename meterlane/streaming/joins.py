@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlane.session import broadcast_if_small
 from meterlane.streaming.aggregates import watermarked
 
 
 def with_lookup(stream: DataFrame, lookup: DataFrame, stream_key: str, lookup_key: str,
                 how: str = "left") -> DataFrame:
-    return stream.join(broadcast_if_small(lookup), F.col(stream_key) == F.col(lookup_key), how)
+    return stream.join(lookup, F.col(stream_key) == F.col(lookup_key), how)
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,

@@ -18,16 +18,20 @@ from meterlane.session import new_path
 BATCH = "batch_id"
 
 
+# Number of state partitions of new streams; without it, that of the session's shuffles.
+STATE_PARTITIONS = "meterlane.streaming.statePartitions"
+
+
 @contextmanager
 def state_partitions(spark: SparkSession):
-    """Start a stream with a number of state partitions that suits the cluster.
+    """Start a stream with the number of state partitions that ``STATE_PARTITIONS`` asks for.
 
-    The number is fixed for the life of a checkpoint and adaptive execution cannot
-    change it, while each partition costs a state store. Two per core are enough.
+    The number is fixed for the life of a checkpoint and adaptive execution cannot change
+    it, so it is a setting of its own and never follows from the cores of the moment.
     """
-    setting = "spark.sql.shuffle.partitions"
+    setting, wanted = "spark.sql.shuffle.partitions", spark.conf.get(STATE_PARTITIONS, None)
     before = spark.conf.get(setting)
-    spark.conf.set(setting, min(int(before), 2 * spark.sparkContext.defaultParallelism))
+    spark.conf.set(setting, wanted or before)
     try:
         yield
     finally:
@@ -52,13 +56,22 @@ def append(stream: DataFrame, label: str, path: str | None = None,
 
 
 def complete(stream: DataFrame, label: str, checkpoint: str | None = None) -> DataFrame:
-    """The whole result table after the last micro-batch."""
+    """The whole result table after the last micro-batch.
+
+    The table lies beside its checkpoint, a folder for each micro-batch, and the newest
+    counts: a restart without new input still shows the last result, and no write replaces
+    the only copy.
+    """
     spark = stream.sparkSession
-    path, checkpoint = new_path(spark, label), checkpoint or new_path(spark, f"{label}-state")
-    spark.createDataFrame([], stream.schema).write.parquet(path)
+    checkpoint = checkpoint or new_path(spark, f"{label}-state")
+    path = f"{checkpoint.rstrip('/')}-table"
+    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
     _finish(stream, stream.writeStream.outputMode("complete").foreachBatch(
-        lambda batch, _: batch.write.mode("overwrite").parquet(path)), checkpoint)
-    return spark.read.schema(stream.schema).parquet(path)
+        lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")), checkpoint)
+    # Read without the partition column, then only the newest folder; numbers are few.
+    versions = spark.read.schema(f"{BATCH} long").parquet(path)
+    newest = versions.agg(F.max(BATCH)).first()[0]
+    return spark.read.schema(stream.schema).parquet(f"{path}/{BATCH}={-1 if newest is None else newest}")
 
 
 def upsert(stream: DataFrame, label: str, keys: Sequence[str], path: str | None = None,

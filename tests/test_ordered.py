@@ -69,15 +69,20 @@ def test_frames_cross_block_edges(table, monkeypatch):
     assert by_id(framed, "moving") == plain(moving)
 
 
-def test_frame_longer_than_a_block_is_refused(table):
-    with pytest.raises(ValueError):
-        ordered.framed(table[1], ["k"], [F.asc("id")], {}, before=ordered.BLOCK_ROWS + 1)
+def test_frame_longer_than_a_block(table, monkeypatch):
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", 4)
+    pdf, df = table
+    framed = ordered.framed(df, ["k"], [F.asc("id")], {"prev": lambda w: F.lag("v", 9).over(w)}, before=9)
+    want = pdf.groupby("k", dropna=False)["v"].shift(9)
+    assert by_id(framed, "prev") == {i: None if pd.isna(x) else int(x) for i, x in zip(pdf["id"], want)}
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_percentiles_both_ways(table, monkeypatch, limit):
+def test_percentiles(table):
     pdf, df = table
-    monkeypatch.setattr(ordered, "GROUP_VALUE_LIMIT", limit)
+    alone = ordered.percentiles(df, [], "v", {"p50": 0.5}).first()
+    assert alone["p50"] == pytest.approx(np.quantile(pdf["v"], 0.5))
+    nothing = df.withColumn("v", F.when(F.col("k").isNotNull(), F.col("v")))
+    assert {r["p50"] for r in ordered.percentiles(nothing, ["k"], "v", {"p50": 0.5}).filter("k IS NULL").collect()} == {None}
     rows = ordered.percentiles(df, ["k"], "v", {"p50": 0.5, "p90": 0.9, "p100": 1.0}).collect()
     for row in rows:
         values = pdf[pdf["k"].isna() if row["k"] is None else pdf["k"] == row["k"]]["v"]

@@ -5,17 +5,20 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from meterlane.operators import merging
-from meterlane.session import broadcast_if_small, materialize, new_path, release, shared_root
+from meterlane.functions import keys
+from meterlane.operators import joins, merging, quality
+from meterlane.session import materialize, new_path, release, shared_root
 from meterlane.sinks import tables
 from meterlane.sources import cursor, files, relational
 
 
 @pytest.fixture()
 def people(spark):
-    a = spark.createDataFrame([(i, f"Person_{i}", 25 + i, "City_A") for i in range(1, 6)],
+    """Ids and ages are those whose totals are published; all texts are invented."""
+    names = ("Ada", "Bo", "Cleo", "Dov", "Eli", "Fay", "Gus", "Hal")
+    a = spark.createDataFrame([(i, names[i - 1], 25 + i, "Northport") for i in range(1, 6)],
                               "ID int, Name string, Age int, City string")
-    b = spark.createDataFrame([(i, f"Person_{i}", 30 + i, "City_B", f"Job_{i}") for i in range(3, 9)],
+    b = spark.createDataFrame([(i, names[i - 1], 30 + i, "Southbay", "baker") for i in range(3, 9)],
                               "ID int, Name string, Age int, City string, Occupation string")
     return a, b
 
@@ -173,10 +176,35 @@ def test_csv_known_columns_ignores_others(spark):
     assert tuple(files.csv_known_columns(spark, path, schema).first()) == ("z", 1)
 
 
-def test_broadcast_only_below_the_limit(spark):
-    small, large = spark.range(10), spark.range(11)
-    plans = [broadcast_if_small(f, 10)._jdf.queryExecution().logical().toString() for f in (small, large)]
-    assert "broadcast" in plans[0].lower() and "broadcast" not in plans[1].lower()
+def test_rows_per_file_tells_folders_apart(spark):
+    path = new_path(spark, "folders")
+    for part in (0, 1):
+        spark.range(3).coalesce(1).write.parquet(f"{path}/p={part}")
+    assert files.rows_per_file(spark.read.parquet(path)).count() == 2
+
+
+def test_scd2_sees_moved_text_and_nulls(spark):
+    shape = "k int, a string, b string"
+    old = spark.createDataFrame([(1, "ab", "c"), (2, None, "x"), (3, "s", "t")], shape).withColumns(
+        {"valid_from": F.lit(1), "valid_to": F.lit(None).cast("int")})
+    new = spark.createDataFrame([(1, "a", "bc"), (2, "", "x"), (3, "s", "t")], shape)
+    got = merging.scd2(old, new, "k", ["a", "b"], F.lit(2))
+    assert {r.k for r in got.filter("valid_to = 2").collect()} == {1, 2} and got.count() == 5
+
+
+def test_not_in_an_empty_lookup_keeps_all(spark):
+    facts = spark.createDataFrame([(1, None), (None, 2), (3, 4)], "a int, b int")
+    assert joins.not_in_either(facts, spark.createDataFrame([], "id int"), "id", ["a", "b"]).count() == 3
+
+
+def test_accepted_values_with_a_null_in_the_list(spark):
+    frame = spark.createDataFrame([("a",), ("b",), (None,)], "v string")
+    assert quality.accepted_values(frame, "v", ["a", None]).first()["failures"] == 1
+
+
+def test_base_id_of_null(spark):
+    got = spark.createDataFrame([("B00021",), (None,)], "c string").select(keys.base_id_udf("c"), keys.base_id("c"))
+    assert [r[0] == r[1] for r in got.collect()] == [True, True]
 
 
 def test_shared_root_follows_the_setting(spark):
