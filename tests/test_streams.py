@@ -146,10 +146,26 @@ def test_start_after_a_time_skips_older_files(spark, since, wanted):
     assert run.append(sources.folder(spark, topic.folder, schema, since=since), "since").count() == wanted
 
 
-def test_state_partitions_are_bounded_by_cores(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "5000")
-    with run.state_partitions(spark):
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 2 * spark.sparkContext.defaultParallelism
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "5000"
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_state_partitions_follow_their_setting_and_never_the_cores(spark):
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "5000")
+        with run.state_partitions(spark):
+            assert spark.conf.get(setting) == "5000"
+        spark.conf.set(run.STATE_PARTITIONS, "24")
+        with run.state_partitions(spark):
+            assert spark.conf.get(setting) == "24"
+        assert spark.conf.get(setting) == "5000"
+    finally:
+        spark.conf.unset(run.STATE_PARTITIONS)
+        spark.conf.set(setting, before)
+
+
+def test_complete_table_survives_a_restart_without_input(spark):
+    folder, state_folder = new_path(spark, "restart"), new_path(spark, "restart-state")
+    spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int").write.parquet(folder)
+    for _ in range(2):
+        counted = spark.readStream.schema("k string, v int").parquet(folder).groupBy("k").count()
+        result = run.complete(counted, "restart", checkpoint=state_folder)
+        assert {tuple(r) for r in result.collect()} == {("a", 2), ("b", 1)}
