@@ -11,8 +11,10 @@ Two texts link when ``size * intersection >= share * union`` of their n-gram set
 4. Candidates share a prefix n-gram and pass the length, positional and suffix filters.
    In a first part each n-gram's posting list is compared with a few pivots, as often as that
    joins components; posting lists of one component need no more pairs. What is left, texts
-   of different components that share a prefix n-gram, is compared pair by pair: no link
-   between components can be missed, and a group of k near copies costs about k pairs.
+   of different components that share a prefix n-gram, is compared pair by pair, and the
+   positional filter counts all prefix n-grams of a pair. Each text's likeliest candidates go
+   first, then those that are still of different components: no link between components
+   can be missed, and a group of k near copies costs about k pairs.
 5. Every pair is verified once on the whole sets.
 """
 
@@ -33,8 +35,11 @@ from meterlane.session import materialize, slice_count
 
 # n-grams of the texts that one task holds while frequencies are exchanged.
 CHUNK_GRAMS = 2_000_000
-# Pivots that a posting list is compared with in a turn.
+# Pivots that a posting list is compared with in a turn, and turns in a row that may bring little.
 PIVOTS = 8
+PATIENCE = 2
+# Candidates of a text that are verified before the others.
+FIRST = 4
 # Cells of the suffix filter.
 CELLS = 16
 
@@ -290,26 +295,27 @@ def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
         "node", "n", "start", F.posexplode(F.slice("grams", F.col("start") + 1, F.col("stop") - F.col("start")))).select(
         "node", "n", (F.col("start") + F.col("pos")).alias("pos"), F.col("col").alias("gram"), F.col("node").alias("comp"))
     rows = materialize(_several(prefixes), "postings")
-    links, turn, few, before = [], 0, None, math.inf
+    links, turn, idle, few, before = [], 0, 0, None, math.inf
     while True:
         waiting, postings = _pending(rows)
         few = few or 8 * postings
+        idle = idle + 1 if waiting > 0.9 * before else 0
         # Comparing all that wait is cheap enough, or pivots have stopped making them fewer.
-        if waiting <= few or waiting > 0.9 * before:
+        if waiting <= few or idle == PATIENCE:
             break
         before = waiting
-        # Each n-gram's pivots are drawn anew, so that a text meets many texts of its group.
-        drawn = F.xxhash64("gram", "node", F.lit(turn))
-        pivot = rows.groupBy("gram", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(PIVOTS)).alias("part")).agg(
+        # A text is drawn for all its n-grams alike, so that those of a group share their pivots
+        # and a pair is made once or twice, not anew for each n-gram; other texts the next turn.
+        drawn = F.xxhash64("node", F.lit(turn))
+        pivot = rows.groupBy("gram", F.pmod(drawn, F.lit(PIVOTS)).alias("part")).agg(
             F.min_by(F.struct(F.col("node").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"),
                               F.col("comp").alias("c")), drawn).alias("p"))
         pairs = rows.join(pivot, "gram").select("node", "n", "pos", "comp", "p.*").filter("comp != c")
         found = materialize(_verified(_passing(pairs, share, size), sets, share, size), "links")
-        if found.isEmpty():
-            break
-        links.append(found.select("node", "other"))
-        rows = materialize(_several(_merged(rows, found)), "postings")
         turn += 1
+        if not found.isEmpty():
+            links.append(found.select("node", "other"))
+            rows = materialize(_several(_merged(rows, found)), "postings")
     most = (rows.groupBy("gram", "comp").count().groupBy("gram")
             .agg(F.max_by("comp", F.struct("count", "comp")).alias("most")))
     marked = rows.join(most, "gram")
@@ -317,8 +323,20 @@ def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
     right = marked.select("gram", F.col("node").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"),
                           F.col("comp").alias("c"), (F.col("comp") == F.col("most")).alias("main"))
     pairs = left.join(right, "gram").filter("comp != c AND (main OR node < other)")
-    found = _verified(_passing(pairs, share, size), sets, share, size)
-    links.append(materialize(found, "links").select("node", "other"))
+    waiting = materialize(_meeting(pairs, share, size), "candidates")
+    # A text's likeliest candidates first: most pairs are then of one component and need no verification.
+    both = waiting.select("node", "other", "most").union(waiting.select("other", "node", "most"))
+    part = F.pmod(F.xxhash64("other"), F.lit(FIRST)).alias("part")
+    likely = both.groupBy("node", part).agg(F.max_by("other", F.struct("most", "other")).alias("other"))
+    likely = likely.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct()
+    found = materialize(_verified(likely, sets, share, size), "links")
+    links.append(found)
+    roots = connected(waiting.join(found, ["node", "other"]).select(F.col("comp").alias("u"), F.col("c").alias("v")))
+    for comp in ("comp", "c"):
+        named = roots.select(F.col("node").alias(comp), F.col("root"))
+        waiting = waiting.join(named, comp, "left").withColumn(comp, F.coalesce("root", comp)).drop("root")
+    rest = waiting.filter("comp != c").select("node", "other")
+    links.append(materialize(_verified(rest, sets, share, size), "links"))
     result = links[0]
     for more in links[1:]:
         result = result.union(more)
@@ -353,6 +371,24 @@ def _passing(pairs: DataFrame, share: int, size: int) -> DataFrame:
             .select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct())
 
 
+def _meeting(pairs: DataFrame, share: int, size: int) -> DataFrame:
+    """As ``_passing``, for rows that hold every n-gram that two prefixes share; with the
+    components of both and the bound on their intersection.
+
+    All texts order n-grams alike, so whatever else a pair shares lies behind the last of
+    them in both texts: their count and the shorter rest bound the intersection.
+    """
+    n, m, turned = F.col("n"), F.col("m"), F.col("node") > F.col("other")
+    alike = F.least(n, m) * size >= F.greatest(n, m) * share
+    rest = F.least(n - F.col("pos"), m - F.col("at"))
+    met = (pairs.filter(alike).select(
+        F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"),
+        F.when(turned, F.col("c")).otherwise(F.col("comp")).alias("comp"),
+        F.when(turned, F.col("comp")).otherwise(F.col("c")).alias("c"), (n + m).alias("both"), rest.alias("rest"))
+        .groupBy("node", "other", "comp", "c", "both").agg((F.count("*") - 1 + F.min("rest")).alias("most")))
+    return met.filter(F.col("most") * (share + size) >= share * F.col("both")).drop("both")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, share: int, size: int) -> DataFrame:
     """The pairs that link. The suffix filter bounds the intersection by the n-grams that
     both have in each cell of the n-gram space; what passes is intersected."""
