@@ -328,14 +328,15 @@ def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
     both = waiting.select("node", "other", "most").union(waiting.select("other", "node", "most"))
     part = F.pmod(F.xxhash64("other"), F.lit(FIRST)).alias("part")
     likely = both.groupBy("node", part).agg(F.max_by("other", F.struct("most", "other")).alias("other"))
-    likely = likely.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct()
+    likely = materialize(likely.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"))
+                         .distinct(), "likely")
     found = materialize(_verified(likely, sets, share, size), "links")
     links.append(found)
     roots = connected(waiting.join(found, ["node", "other"]).select(F.col("comp").alias("u"), F.col("c").alias("v")))
     for comp in ("comp", "c"):
         named = roots.select(F.col("node").alias(comp), F.col("root"))
         waiting = waiting.join(named, comp, "left").withColumn(comp, F.coalesce("root", comp)).drop("root")
-    rest = waiting.filter("comp != c").select("node", "other")
+    rest = waiting.filter("comp != c").select("node", "other").join(likely, ["node", "other"], "left_anti")
     links.append(materialize(_verified(rest, sets, share, size), "links"))
     result = links[0]
     for more in links[1:]:
