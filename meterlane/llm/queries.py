@@ -50,7 +50,7 @@ def op8_token_frames(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash.report(_table(spark, folder, "documents"))
+    return simhash.report(_table(spark, folder, "documents"), radius=simhash.RADIUS)
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,13 +4,15 @@ The terms of a text are its five-word shingles (A-Z lower-cased; fewer words are
 weighted by how often they occur. Each term's two 64-bit hashes vote on 128 bits. Votes are
 counted two bits to a long, 32 bits each, while shingles stream by; nothing is collected.
 
-Search: fingerprints are cut into ``radius + 1`` blocks. Two within the radius agree on one
-block at least, so a table of fingerprints for each block, keyed by it, holds every partner.
+Search: fingerprints are cut into so many blocks that two within the radius differ in at most
+``SPARE`` bits on one block at least, so a table of fingerprints for each block, asked for the
+block and all that differ in so few bits, holds every partner.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,10 @@ from meterlane.session import materialize, slice_count
 SHINGLE = 5
 BITS = 128
 LANE = 0x0000000100000001
+# Bits in which two texts with a Jaccard similarity of 0.8 may differ: 19 on average, and a margin.
+RADIUS = 23
+# Bits in which a block may differ from the one that is asked for.
+SPARE = 2
 
 
 def terms(text: Column) -> Column:
@@ -149,37 +155,53 @@ def fingerprint_rows(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 
 def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
-    """(high, low, n_near) for the distinct query fingerprints: rows of ``prints`` within the radius.
-
-    Both have columns high and low; equal fingerprints are counted before they are joined.
-    A partner that agrees on several blocks counts at the first of them.
+    """(high, low, near_high, near_low, bits, doc_id, docs): all pairs of a distinct query
+    fingerprint and a distinct fingerprint of ``prints`` within the radius, and their distance.
+
+    Both have columns high and low, ``prints`` doc_id too; equal fingerprints are one class before
+    they are joined, with its least doc_id and its number of rows. Blocks take up to ``SPARE``
+    different bits: of ``radius // (SPARE + 1) + 1`` blocks one has no more than that in each
+    pair, so a query asks each table for its block and all blocks that near. Nothing within the
+    radius is missed. A pair that meets in several tables counts at the first of them.
     """
-    blocks = radius + 1
-    width = BITS // blocks
-    if BITS % blocks or 64 % width:
-        raise ValueError("the radius must cut each half into equal blocks")
-    per_half = 64 // width
-    mask = F.lit((1 << width) - 1)
+    spare = min(SPARE, radius // 4)
+    blocks = radius // (spare + 1) + 1
+    # The bits (high before low) are cut into blocks of nearly equal width; none crosses the halves.
+    per_half = max(2, -(-blocks // 2))
+    edges = [64 * k // per_half for k in range(per_half + 1)]
+    parts = [(half, at, end - at) for half in (0, 1) for at, end in zip(edges, edges[1:])]
 
     def block(k: int, high: str, low: str) -> Column:
-        half, place = divmod(k, per_half)
-        return F.shiftrightunsigned(F.col(low if half else high), place * width).bitwiseAND(mask)
+        half, at, width = parts[k]
+        return F.shiftrightunsigned(F.col(low if half else high), at).bitwiseAND(F.lit((1 << width) - 1))
 
     def table(high: str, low: str) -> Column:
-        return F.explode(F.array(*[F.struct(F.lit(k).alias("table"), block(k, high, low).alias("block"))
-                                   for k in range(blocks)])).alias("key")
-
-    index = prints.groupBy("high", "low").agg(F.count("*").alias("docs")).select("*", table("high", "low"))
-    asked = queries.select(F.col("high").alias("q_high"), F.col("low").alias("q_low")).distinct().select(
-        "*", table("q_high", "q_low"))
-    met = asked.select("q_high", "q_low", "key.table", "key.block").join(
-        index.select("high", "low", "docs", "key.table", "key.block"), ["table", "block"])
-    near = distance(F.col("high"), F.col("low"), F.col("q_high"), F.col("q_low")) <= radius
+        return F.inline(F.array(*[F.struct(F.lit(k).alias("table"), block(k, high, low).alias("block"))
+                                  for k in range(len(parts))]))
+
+    def asked_blocks(high: str, low: str) -> Column:
+        """The blocks of a fingerprint with up to ``spare`` bits turned over."""
+        lists = []
+        for k, (_, _, width) in enumerate(parts):
+            turned = [sum(1 << b for b in chosen) for n in range(spare + 1) for chosen in combinations(range(width), n)]
+            masks = F.split(F.lit(",".join(map(str, turned))), ",").cast("array<bigint>")
+            own = F.transform(masks, block(k, high, low).bitwiseXOR)
+            lists.append(F.struct(F.lit(k).alias("table"), own.alias("asked")))
+        return F.inline(F.array(*lists))
+
+    index = (prints.groupBy("high", "low").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("docs"))
+             .select(F.col("high").alias("near_high"), F.col("low").alias("near_low"), "doc_id", "docs",
+                     table("high", "low")))
+    asked = (queries.select("high", "low").distinct().select("high", "low", asked_blocks("high", "low"))
+             .select("high", "low", "table", F.explode("asked").alias("block")))
+    met = asked.join(index, ["table", "block"])
+    bits = distance(F.col("high"), F.col("low"), F.col("near_high"), F.col("near_low"))
     first = F.lit(True)
-    for k in range(blocks):
-        first = first & ((F.col("table") <= k) | (block(k, "high", "low") != block(k, "q_high", "q_low")))
-    return (met.filter(near & first).groupBy(F.col("q_high").alias("high"), F.col("q_low").alias("low"))
-            .agg(F.sum("docs").alias("n_near")))
+    for k in range(len(parts)):
+        apart = F.bit_count(block(k, "high", "low").bitwiseXOR(block(k, "near_high", "near_low")))
+        first = first & ((F.col("table") <= k) | (apart > spare))
+    return met.filter((bits <= radius) & first).select(
+        "high", "low", "near_high", "near_low", bits.cast("int").alias("bits"), "doc_id", "docs")
 
 
 def report(docs: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:
@@ -187,9 +209,10 @@ def report(docs: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:
     also how many documents lie within the radius, the document itself included."""
     rows = materialize(fingerprint_rows(docs), "fingerprints")
     asked = rows.filter(F.col("doc_id") % every == 0)
-    counts = within_radius(rows.select("high", "low"), asked.select("high", "low"), radius)
-    part = asked.join(counts, ["high", "low"], "left").unionByName(
-        rows.filter((F.col("doc_id") % every != 0) | F.col("doc_id").isNull()).withColumn("n_near", F.lit(None).cast("long")))
+    pairs = within_radius(rows.select("doc_id", "high", "low"), asked.select("high", "low"), radius)
+    found = pairs.groupBy("high", "low").agg(F.sum("docs").alias("n_near"))
+    others = rows.filter((F.col("doc_id") % every != 0) | F.col("doc_id").isNull())
+    part = asked.join(found, ["high", "low"], "left").unionByName(others, allowMissingColumns=True)
     here = (F.col("high"), F.col("low"))
     return part.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", written(*here).alias("fingerprint"),

@@ -334,6 +334,30 @@ def test_fingerprints(spark, texts, odd, empty):
     assert simhash.report(odd).count() == len(ODD) and simhash.report(empty).count() == 0
 
 
+def near_copies(texts, rng):
+    """Copies of long texts with single words changed, whose shingle sets keep a Jaccard similarity of 0.8 at least."""
+    made = {}
+    for key, text in texts.items():
+        words = text.split()
+        for k in rng.choice(len(words), len(words) // 80 + 1, replace=False) if len(words) >= 60 else ():
+            words[k] = f"q{rng.integers(10 ** 6)}"
+        a, b = shingles(text, 5), shingles(" ".join(words), 5)
+        if len(a) >= 50 and 0.8 <= len(a & b) / len(a | b) < 1:
+            made[key] = " ".join(words)
+    return made
+
+
+def test_near_copies_are_found(spark, texts):
+    made = near_copies(texts, np.random.default_rng(3))
+    docs = [(2 * k, texts[k]) for k in made] + [(2 * k + 1, t) for k, t in made.items()]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.report(frame, radius=simhash.RADIUS, every=2).collect()}
+    prints = {k: int(r.fingerprint, 16) for k, r in got.items()}
+    # The search itself misses nothing within the radius.
+    assert all(got[2 * k].n_near == sum((prints[2 * k] ^ p).bit_count() <= simhash.RADIUS for p in prints.values()) for k in made)
+    assert len(made) > 20 and sum(got[2 * k].n_near > 1 for k in made) >= 0.9 * len(made)
+
+
 # --- 10: packing ---------------------------------------------------------------------------
 
 def check_pieces(pieces, docs, length=1024):
