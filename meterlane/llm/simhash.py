@@ -194,7 +194,8 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 3) -> Dat
                      table("high", "low")))
     asked = (queries.select("high", "low").distinct().select("high", "low", asked_blocks("high", "low"))
              .select("high", "low", "table", F.explode("asked").alias("block")))
-    met = asked.join(index, ["table", "block"])
+    # Spark takes the exploded side for as small as the queries; both sides are dealt out instead.
+    met = asked.hint("merge").join(index, ["table", "block"])
     bits = distance(F.col("high"), F.col("low"), F.col("near_high"), F.col("near_low"))
     first = F.lit(True)
     for k in range(len(parts)):
@@ -206,11 +207,13 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 3) -> Dat
 
 def report(docs: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:
     """Fingerprints and likenesses of all documents; for those whose id is divisible by ``every``
-    also how many documents lie within the radius, the document itself included."""
+    also the partners within the radius, as (bits, doc_id, docs) for each distinct fingerprint, and
+    how many documents these are, the document itself included in both."""
     rows = materialize(fingerprint_rows(docs), "fingerprints")
     asked = rows.filter(F.col("doc_id") % every == 0)
     pairs = within_radius(rows.select("doc_id", "high", "low"), asked.select("high", "low"), radius)
-    found = pairs.groupBy("high", "low").agg(F.sum("docs").alias("n_near"))
+    found = pairs.groupBy("high", "low").agg(
+        F.sum("docs").alias("n_near"), F.sort_array(F.collect_list(F.struct("bits", "doc_id", "docs"))).alias("partners"))
     others = rows.filter((F.col("doc_id") % every != 0) | F.col("doc_id").isNull())
     part = asked.join(found, ["high", "low"], "left").unionByName(others, allowMissingColumns=True)
     here = (F.col("high"), F.col("low"))
@@ -218,4 +221,4 @@ def report(docs: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", written(*here).alias("fingerprint"),
         written(F.col("edited_high"), F.col("edited_low")).alias("edited_fingerprint"),
         likeness(distance(*here, F.col("edited_high"), F.col("edited_low"))).alias("near_edited"),
-        likeness(distance(*here, F.col("next_high"), F.col("next_low"))).alias("near_next"), "n_near")
+        likeness(distance(*here, F.col("next_high"), F.col("next_low"))).alias("near_next"), "n_near", "partners")

@@ -358,6 +358,22 @@ def test_near_copies_are_found(spark, texts):
     assert len(made) > 20 and sum(got[2 * k].n_near > 1 for k in made) >= 0.9 * len(made)
 
 
+def test_partners_are_named(spark, texts):
+    made = near_copies(texts, np.random.default_rng(4))
+    docs = [(2 * k, texts[k]) for k in made] + [(2 * k + 1, t) for k, t in made.items()] * 2
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.report(frame, radius=simhash.RADIUS, every=2).collect()}
+    prints = {k: int(r.fingerprint, 16) for k, r in got.items()}
+    for k in made:
+        # One entry for each distinct fingerprint, by its least id; a copy occurs twice.
+        near = collections.defaultdict(list)
+        for key, print_ in prints.items():
+            near[(prints[2 * k] ^ print_).bit_count(), print_] += [key] * (1 + key % 2)
+        want = sorted((bits, min(ids), len(ids)) for (bits, _), ids in near.items() if bits <= simhash.RADIUS)
+        assert [tuple(p) for p in got[2 * k].partners] == want and got[2 * k].n_near == sum(p[2] for p in want)
+        assert got[2 * k + 1].partners is None
+
+
 # --- 10: packing ---------------------------------------------------------------------------
 
 def check_pieces(pieces, docs, length=1024):
