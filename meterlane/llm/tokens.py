@@ -4,13 +4,14 @@ The vocabulary's pattern never joins a blank or line break to what stands before
 visible character follows, nor a letter or digit to punctuation after it. Texts are
 therefore cut at both places, the pieces are made distinct
 (Arrow compares their bytes, so nothing rests on hashes), only new pieces go through the
-tokenizer, and ids are gathered by piece. The result equals tokenising the whole text;
-a test compares both.
+tokenizer, and ids are gathered by piece. Added tokens such as an end marker are cut out
+first, as the tokenizer does. The result equals tokenising the whole text; a test compares both.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from typing import NamedTuple
 
 import numpy as np
@@ -66,7 +67,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        contents = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.marker = re.compile(b"|".join(map(re.escape, contents))) if contents else None
+        # Added tokens that take in what stands around them are left to the tokenizer with their whole text.
+        self.plain = not any(t.single_word or t.lstrip or t.rstrip for t in added)
         self._clear()
 
     @classmethod
@@ -87,7 +92,8 @@ class Encoder:
         the vocabulary's merges; whatever else there is goes through the whole tokenizer."""
         texts = [p.decode() for p in pieces]
         merge, letters = self.tokenizer.model.tokenize, _BYTE_LETTERS
-        whole = [t.isalpha() or (t[0] == " " and t[1:].isalpha()) for t in texts]
+        whole = [(t.isalpha() or (t[0] == " " and t[1:].isalpha())) and not (self.marker and self.marker.search(p))
+                 for p, t in zip(pieces, texts)]
         alone = [p for p, w in zip(pieces, whole) if w]
         self._store(alone, [[k.id for k in merge(p.decode("latin-1").translate(letters))] for p in alone])
         rest = [t for t, w in zip(texts, whole) if not w]
@@ -106,6 +112,24 @@ class Encoder:
         self.used += total
         self.known.update(zip(pieces, range(base, base + len(pieces))))
 
+    def _cut_markers(self, cut: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
+        """Cut around added tokens and not inside them, nor before a blank that they follow: white
+        space before an added token ends its part of the text and stays together."""
+        raw = data.tobytes()
+        if not self.marker or not self.marker.search(raw):
+            return
+        found = []
+        for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            spans = [m.span() for m in self.marker.finditer(raw, begin, end)]
+            if spans and not self.plain:
+                cut[begin:end] = False
+            elif spans:
+                found += spans
+        for begin, end in found:
+            cut[max(begin - 1, 0)] = False
+            cut[begin + 1:end] = False
+        cut[[place for span in found for place in span]] = True
+
     def encode(self, texts: pa.Array, end_id: int | None = None) -> Ids:
         """Ids of all texts, each followed by ``end_id`` if given."""
         data, offsets = text_bytes(texts)
@@ -116,6 +140,9 @@ class Encoder:
             blank = (data == 0x20) | (data == 0x0A)
             cut[:len(data) - 1] = blank[:-1] & _AFTER_CUT[data[1:]]
             cut[1:-1] |= _ALNUM[data[:-1]] & _PUNCTUATION[data[1:]]
+            # What begins the next text doesn't cut the end of this one.
+            cut[np.maximum(offsets[1:] - 1, 0)] &= data[np.maximum(offsets[1:] - 1, 0)] > 0x20
+            self._cut_markers(cut, data, offsets)
             cut[offsets] = True
             places = np.flatnonzero(cut)
             column = pa.Array.from_buffers(pa.large_binary(), len(places) - 1,

@@ -14,6 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import compare, connect
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from meterlane.llm import frames, html, jaccard, licences, mixing, packing, pii, quality_rules, simhash, toxicity
@@ -273,6 +274,29 @@ def test_pieces_equal_the_whole_text(texts):
     assert [got.ids[a:b].tolist() for a, b in zip(got.first[:-1], got.first[1:])] == [ids_of(t, 7) for t in texts]
 
 
+CONTRACT = Tokenizer.from_file(VOCABULARY)
+MARKED = ["<|endoftext|>", "<|endof", "text|>", "<", " ", "  ", "\n", "a", "Zé", ".", "1", "'s", "\u3000"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(MARKED), max_size=9).map("".join), max_size=4))
+def test_markers_keep_their_id(texts):
+    got = Encoder.shared(VOCABULARY).encode(pa.array(texts, pa.string()), 7)
+    want = [[*CONTRACT.encode(t, add_special_tokens=False).ids, 7] for t in texts]
+    assert [got.ids[a:b].tolist() for a, b in zip(got.first[:-1], got.first[1:])] == want
+
+
+def test_markers_in_frames_and_sequences(spark):
+    text = "End of story.<|endoftext|>Next one"
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    ids = CONTRACT.encode(text, add_special_tokens=False).ids
+    crc = zlib.crc32(np.array([*ids, 2], "<u4").tobytes())
+    assert 50256 in ids
+    assert rows_of(frames.read_rows(frames.write_files(docs, VOCABULARY, 2)).filter("doc_id = 1")) == [(1, 0, len(ids) + 1, crc)]
+    pieces = packing.pack(docs, VOCABULARY, 0).filter("doc_id = 1").collect()
+    assert {p.doc_tokens for p in pieces} == {len(ids) + 1}
+
+
 def test_round_trip(odd, empty):
     manifest = frames.write_files(odd, VOCABULARY, 2)
     order = sorted(ODD, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
