@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import TrainValidationSplit
@@ -19,6 +19,8 @@ from meterlane.operators.ordered import percentiles
 # Fixed values of the search: five (regParam, elasticNetParam) pairs, two at a time.
 SEARCH_POINTS = ((0.0, 0.0), (0.1, 0.0), (1.0, 0.5), (10.0, 0.5), (20.0, 1.0))
 SEARCH_PARALLELISM = 2
+# Ends the names of number columns whose gaps are filled.
+FILLED = "__filled"
 
 
 def feature_table(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
@@ -41,15 +43,19 @@ def split(df: DataFrame, train_share: float = 0.8, *columns: str) -> tuple[DataF
 
 
 def estimator(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
+    """Every row counts: a missing number is the mean of the training rows, a missing or new category is one of its own."""
+    filled = [f"{c}{FILLED}" for c in numeric]
     indexed = [f"{c}__index" for c in categorical]
     encoded = [f"{c}__hot" for c in categorical]
     stages = []
     if categorical:
         stages = [StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
                   OneHotEncoder(inputCols=indexed, outputCols=encoded)]
+    if numeric:
+        stages.append(Imputer(inputCols=list(numeric), outputCols=filled, strategy="mean"))
     return Pipeline(stages=[
         *stages,
-        VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=[*filled, *encoded], outputCol="features", handleInvalid="error"),
         LinearRegression(featuresCol="features", labelCol="label")])
 
 
@@ -155,7 +161,7 @@ def model_attributions(model: PipelineModel, df: DataFrame, k: int) -> DataFrame
     centre = predicted.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
     fitted = model.stages[-1]
     groups = predicted.schema["features"].metadata["ml_attr"]["attrs"].values()
-    named = {a["idx"]: a["name"] for group in groups for a in group}
+    named = {a["idx"]: a["name"].removesuffix(FILLED) for group in groups for a in group}
     weights = F.array(*[F.lit(float(w)) for w in fitted.coefficients.toArray()])
     means = F.array(*[F.lit(float(m)) for m in centre])
     labels = F.array(*[F.lit(named[i]) for i in range(len(centre))])

@@ -33,10 +33,10 @@ def ml_feature_table(data: Data):
 
 
 def fitted(data: Data):
-    """Training and test rows, and the model; the rows are stored because training reads them often."""
+    """The model of the training share, and all rows; they are stored because training reads them often."""
     rows = materialize(features(data), "features")
-    train, test = regression.split(rows)
-    return regression.train(train, NUMERIC, CATEGORICAL), test
+    train, _ = regression.split(rows)
+    return regression.train(train, NUMERIC, CATEGORICAL), rows
 
 
 @query("ml_train_summary")
@@ -83,14 +83,14 @@ def ml_evaluate(data: Data):
 
 @query("ml_predict")
 def ml_predict(data: Data):
-    model, test = fitted(data)
-    return regression.predict(model, test).select("order_key", "label", F.round("prediction", 6).alias("prediction"))
+    model, rows = fitted(data)
+    return regression.predict(model, rows).select("order_key", "label", F.round("prediction", 6).alias("prediction"))
 
 
 @query("ml_explain_model")
 def ml_explain_model(data: Data):
-    model, test = fitted(data)
-    explained = regression.model_attributions(model, test, 3)
+    model, rows = fitted(data)
+    explained = regression.model_attributions(model, rows, 3)
     return explained.select("order_key", "prediction", F.posexplode("top_attributions").alias("place", "share")).select(
         "order_key", F.round("prediction", 6).alias("prediction"), "place", "share.feature",
         F.round("share.attribution", 6).alias("attribution"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlane.functions.times import within
 from meterlane.operators import regression, similarity, unions
-from meterlane.plans import models
+from meterlane.plans import catalog, models
 from meterlane.session import new_path
 from meterlane.sinks import tables
 from meterlane.sources.paged import PagedSource
@@ -59,6 +59,24 @@ def test_regression_recovers_a_linear_rule(line):
     assert "x" in {r[0] for r in explained.collect()}
 
 
+def test_rows_with_gaps_are_predicted(spark, line):
+    model = regression.train(line.unionByName(line.limit(20).withColumn("x", F.lit(None).cast("double"))), ["x"], ["c"])
+    rows = spark.createDataFrame([(1, 3.0, "1"), (2, None, "1"), (3, 3.0, None), (4, None, None), (5, 3.0, "new")], "k int, x double, c string")
+    got = {r["k"]: r["prediction"] for r in regression.predict(model, rows).collect()}
+    mean = line.agg(F.avg("x")).first()[0]
+    slope = (got[2] - got[1]) / (mean - 3.0)
+    assert len(got) == 5 and got[3] == got[5] and got[4] - got[3] == pytest.approx(got[2] - got[1]) and 3.5 < slope < 4.5
+    explained = regression.model_attributions(model, rows, 2)
+    assert explained.count() == 5 and "x" in {r[0] for r in explained.select(F.explode("top_attributions.feature")).collect()}
+
+
+def test_model_queries_cover_the_whole_table(spark):
+    keys = lambda name: sorted(r[0] for r in catalog.QUERIES[name](spark, FOLDER).select("order_key").collect())
+    catalog.load_all()
+    want = keys("ml_feature_table")
+    assert want and keys("ml_predict") == want and keys("ml_explain_model") == sorted(3 * want)
+
+
 def test_search_tries_every_point(line):
     found = regression.search(line, ["x"], ["c"])
     assert len(found.validationMetrics) == len(regression.SEARCH_POINTS)
