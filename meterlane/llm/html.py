@@ -17,6 +17,7 @@ from __future__ import annotations
 import html
 import re
 from collections import defaultdict
+from itertools import count
 from typing import NamedTuple
 
 import numpy as np
@@ -33,9 +34,11 @@ from meterlane.session import materialize
 SHARE, PAGES = 0.5, 3
 # An element is followed inward while one child holds this share of its text.
 DOMINANT = 0.6
+# What marks or a form drop is kept if it holds more than this share of the page's text.
+MOST = 0.5
 
 # Element names by their part in a page.
-BOILERPLATE = frozenset("nav header footer aside form menu dialog button select input textarea label fieldset iframe object embed "
+BOILERPLATE = frozenset("nav header footer aside menu dialog button select input textarea label fieldset iframe object embed "
                         "svg canvas audio video map math head title".split())
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "xmp", "noembed", "noframes")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,6 +55,8 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising banner br
                   "sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split())
 #: Elements that hold the article by their meaning.
 ARTICLE = frozenset(("article", "main"))
+#: What a head may hold; any other element, or text, ends it.
+HEAD = frozenset("title base link meta script style noscript template".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -59,13 +64,18 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HEADED = re.compile(r">(?:head|title)(?:[.>]|$)")
 _MARK_WORD = re.compile(r"[a-z]+")
 
 
 class Element(NamedTuple):
+    """``dropped`` by its name; ``doubtful`` by marks or as a form, unless it holds the article."""
+
+    place: int
     name: str
     path: str
     dropped: bool
+    doubtful: bool
     article: bool
 
 
@@ -78,25 +88,76 @@ class Run(NamedTuple):
     article: bool
 
 
-def read(page: str) -> tuple[list[Run], list[str]]:
+def read(page: str, root: str = "") -> tuple[list[Run], list[str]]:
     """All blocks of a page in order, and its tokens (openings and closings by path)."""
+    blocks, tokens = _parse(page)
+    kept = _kept(blocks, root)
+    runs = []
+    for text, owner in blocks:
+        dropping = [e.place for e in owner if e.dropped or (e.doubtful and e.place not in kept)]
+        article = any(e.article and not (dropping and dropping[0] < e.place) for e in owner)
+        runs.append(Run(text, tuple(e.path for e in owner), bool(dropping), article))
+    return runs, tokens
+
+
+def _kept(blocks: list[tuple[str, tuple[Element, ...]]], root: str) -> set[int]:
+    """Places of doubtful elements that are kept: forms that hold most of the page's text; if no article
+    has text outside of doubtful elements, those around the largest one and those that hold most of it;
+    without an article those around the template's root, or else all that hold most of the text."""
+    open_blocks = [(len(text), owner) for text, owner in blocks if not any(e.dropped for e in owner)]
+    if not any(e.doubtful for _, owner in open_blocks for e in owner):
+        return set()
+    chars: dict[int, int] = defaultdict(int)
+    for size, owner in open_blocks:
+        for e in owner:
+            chars[e.place] += size
+    whole = sum(size for size, _ in open_blocks)
+    kept = {e.place for _, owner in open_blocks for e in owner if e.name == "form" and chars[e.place] > MOST * whole}
+    articles: dict[int, int] = {}
+    roots: dict[int, int] = {}
+    free_root = False
+    for k, (_, owner) in enumerate(open_blocks):
+        free = not any(e.doubtful and e.place not in kept for e in owner)
+        for e in owner:
+            if e.article and free:
+                return kept
+            if e.article:
+                articles.setdefault(e.place, k)
+            if root and e.path == root:
+                roots.setdefault(e.place, k)
+                free_root |= free
+    found = articles or roots
+    if free_root and not articles:
+        return kept
+    if not found:
+        return kept | {place for place, size in chars.items() if size > MOST * whole}
+    largest = max(found, key=lambda place: (chars[place], -place))
+    around = {e.place for e in open_blocks[found[largest]][1] if e.place <= largest}
+    inside = {e.place for _, owner in open_blocks if any(o.place == largest for o in owner)
+              for e in owner if e.place > largest and chars[e.place] > MOST * chars[largest]}
+    return kept | around | inside
+
+
+def _parse(page: str) -> tuple[list[tuple[str, tuple[Element, ...]]], list[str]]:
+    """The blocks of text with the elements around them, and the tokens."""
     stack: list[Element] = []
-    runs: list[Run] = []
+    runs: list[tuple[str, tuple[Element, ...]]] = []
     tokens: list[str] = []
     parts: list[str] = []
     owner: list[Element] = []
+    places = count()
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            runs.append(Run(text, tuple(e.path for e in owner), any(e.dropped for e in owner), any(e.article for e in owner)))
+            runs.append((text, tuple(owner)))
 
     def pop(until: int) -> None:
         nonlocal owner
         while len(stack) > until:
             element = stack.pop()
-            if element.name in BLOCKS:
+            if element.name in BLOCKS or element.name == "head" or (element.name == "title" and not any(e.name == "svg" for e in stack)):
                 flush()
             tokens.append("/" + element.path)
         owner = list(stack)
@@ -104,6 +165,8 @@ def read(page: str) -> tuple[list[Run], list[str]]:
     def add(text: str) -> None:
         nonlocal owner
         if text:
+            if stack and stack[-1].name == "head" and not text.isspace():
+                pop(len(stack) - 1)
             if not parts:
                 owner = list(stack)
             parts.append(text)
@@ -124,6 +187,11 @@ def read(page: str) -> tuple[list[Run], list[str]]:
                 if name not in BLOCKS and stack[k].name in BLOCKS:
                     break
             continue
+        if name not in HEAD:
+            for k, element in enumerate(stack):
+                if element.name == "head":
+                    pop(k)
+                    break
         if name in VOID:
             if name in BLOCKS:
                 flush()
@@ -147,15 +215,16 @@ def read(page: str) -> tuple[list[Run], list[str]]:
                     break
         if name in BLOCKS:
             flush()
-        marked = [" ".join(v for v in a.groups()[1:] if v) for a in ATTRIBUTE.finditer(m["attrs"])] if "=" in m["attrs"] else []
-        signs = {w for value in marked for w in _MARK_WORD.findall(value.lower())}
-        label = name + "".join("." + value.lower() for value in marked[:1])
+        values = [" ".join(v for v in a.groups()[1:] if v) for a in ATTRIBUTE.finditer(m["attrs"])] if "=" in m["attrs"] else []
+        signs = {w for value in values for w in _MARK_WORD.findall(value.lower())}
+        label = name + "".join("." + value.lower() for value in values[:1])
         path = (stack[-1].path if stack else "") + ">" + label
-        dropped = name in BOILERPLATE or (bool(signs & MARKS) and name not in ("body", "html", *ARTICLE))
+        marked = bool(signs & MARKS)
+        dropped = name in BOILERPLATE
         if name == "header" and any(e.article for e in stack):
-            dropped = bool(signs & MARKS)  # an article's own heading
-        article = name in ARTICLE and not any(e.dropped for e in stack) and not bool(signs & MARKS)
-        stack.append(Element(name, path, dropped, article))
+            dropped = marked  # an article's own heading
+        doubtful = not dropped and (name == "form" or (marked and name not in ("body", "html", *ARTICLE)))
+        stack.append(Element(next(places), name, path, dropped, doubtful, name == "main" or (name in ARTICLE and not marked)))
         tokens.append(path)
         if not m["attrs"].rstrip().endswith("/") or name in BLOCKS:
             continue
@@ -270,15 +339,16 @@ def extract(page: str, template: Template | None) -> str:
     """The blocks of the article, joined by two line breaks.
 
     An article element of the page comes first, then the template's element, then the whole
-    page; outside an article, the template's own runs are left out.
+    page; outside an article, the template's own runs are left out. If nothing is left by that,
+    they stay, and if all is boilerplate, it stays but for the head.
     """
-    runs, _ = read(page)
-    left = [r for r in runs if not r.dropped]
+    runs, _ = read(page, template.root if template else "")
+    left = [r for r in runs if not r.dropped] or [r for r in runs if not HEADED.search(r.paths[-1] if r.paths else "")]
     chosen = [r for r in left if r.article]
     if not chosen:
         own = [r for r in left if not template or _hash("=" + r.text) not in template.runs]
         inside = [r for r in own if template and template.root in r.paths]
-        chosen = inside or own
+        chosen = inside or own or left
     return "\n\n".join(r.text for r in chosen)
 
 

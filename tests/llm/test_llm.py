@@ -247,6 +247,32 @@ def test_main_text(spark, empty):
     assert html.main_text(frame).count() == 10 and html.main_text(frame.limit(0)).count() == 0
 
 
+BODY = "<p>A long first paragraph of the page itself.</p><p>And a second one that goes on.</p>"
+
+
+@pytest.mark.parametrize("source", [
+    f"<html><head><title>t</title></head><body><form action=x><nav>Home</nav><div>{BODY}</div></form><div class=footer>f</div></body></html>",
+    f"<html><body><div class='layout with-sidebar'><nav>Home</nav>{BODY}<div class=sidebar>More</div></div></body></html>",
+    f"<body><div class='has-sidebar'><main class='has-sidebar'>{BODY}</main><div class=related><article>More</article></div></div></body>",
+    f"<body><div class='has-sidebar'><article>{BODY}</article><div class=comments>{'<p>So many words said here.</p>' * 9}</div></div></body>",
+    f"<body><main><form>{BODY}</form></main><div>Imprint</div></body>",
+    f"<html><head><title>t</title><meta charset=utf-8><body><header>Home</header>{BODY}</body></html>",
+    f"<title>t</title>{BODY}", f"<head><title>t</title>{BODY}", f"<aside>{BODY}</aside>"])
+def test_no_page_is_dropped_whole(source):
+    want = "A long first paragraph of the page itself.\n\nAnd a second one that goes on."
+    assert html.extract(source, None) == want
+
+
+def test_marks_still_drop_what_is_beside_the_article():
+    comments = f"<div class=comments>{'<p>So many words said here.</p>' * 9}</div>"
+    assert html.extract(f"<body><main><p>Short.</p>{comments}</main><form><p>Search</p></form></body>", None) == "Short."
+    root = html.Template(">body>div.content", frozenset())
+    assert html.extract(f"<body><div class=content><p>Short.</p></div>{comments}</body>", root) == "Short."
+    wrapped = f"<body><div class='with-sidebar'><div class=content><p>Short.</p></div></div>{comments}</body>"
+    assert html.extract(wrapped, html.Template(">body>div.with-sidebar>div.content", frozenset())) == "Short."
+    assert html.extract("<html><head><title>t</title><b>x</b> y", None) == "x y"
+
+
 # --- 7: mixing -----------------------------------------------------------------------------
 
 def test_water_filling(spark, odd, empty):
