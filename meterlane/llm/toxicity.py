@@ -148,8 +148,10 @@ def _examples(batches):
 
 def _scores(texts: pa.Array, cells: np.ndarray, weights: np.ndarray, constant: float) -> pa.Array:
     out = []
+    # Read as for training: identity terms have no beginnings, so no weight of another word's falls on them.
+    swaps = _swap_table()
     for part in portions(pa.record_batch([texts.fill_null("")], ["text"]), "text"):
-        found, _, owner = _read(part.column("text"))
+        found, _, owner = _read(part.column("text"), swaps)
         total = np.zeros(part.num_rows)
         if len(cells):
             at = np.minimum(np.searchsorted(cells, found), len(cells) - 1)

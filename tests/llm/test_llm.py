@@ -229,6 +229,17 @@ def test_identity_terms_get_no_weight(spark):
     assert got[1] < 0.5 and got[3] > 0.6 and got[3] > got[1] + 0.2
 
 
+def test_identity_terms_get_no_weight_by_their_beginnings(spark):
+    bad = [(k, f"stop immigration and immigrating now t{k}") for k in range(60)]
+    fine = [(100 + k, f"we all like t{k} today") for k in range(60)]
+    docs = spark.createDataFrame(bad + fine, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 100)) for k, _ in bad + fine], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    asked = spark.createDataFrame([(1, "u immigrants v"), (2, "u citizens v"), (3, "u v"), (4, "u immigrations v")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(asked, model).collect()}
+    assert got[1] == got[2] == got[3] and got[4] > got[3] + 0.1
+
+
 # --- 6: main text --------------------------------------------------------------------------
 
 def page(k, body):
