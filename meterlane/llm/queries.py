@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlane.llm import (
-    frames, html, jaccard, licences, mixing, packing, pii, prepared, quality_rules, simhash, toxicity)
+    crosstoken, frames, hosts, html, jaccard, lexical, licences, mixing, packing, pii, prepared, quality_rules, simhash, toxicity)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,7 +58,20 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), VOCABULARY, end_id=0)
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return crosstoken.report(_table(spark, folder, "documents"), VOCABULARY, PIECES)
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_url_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return hosts.judge(_table(spark, folder, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_join, op2_license_scan, op3_quality_rules, op4_pii_surrogates,
-    op5_toxicity, op6_main_text, op7_source_mix, op8_token_frames, op9_fingerprints, op10_packing)}
-ORACLES = {"op2_license_scan": licences.SQL, "op7_source_mix": mixing.SQL}
+    op5_toxicity, op6_main_text, op7_source_mix, op8_token_frames, op9_fingerprints, op10_packing,
+    op11_token_alignment, op12_lexical_search, op13_url_trust)}
+ORACLES = {"op2_license_scan": licences.SQL, "op7_source_mix": mixing.SQL, "op12_lexical_search": lexical.SQL, "op13_url_trust": hosts.SQL}
