@@ -78,12 +78,16 @@ def overlaps(both):
 
 
 def groups(both):
-    ends = sorted({t[2] for t in both[0]} & {t[2] for t in both[1]})
-    out, begin = [], 0
-    for end in ends:
-        out.append([[t[0] for t in side if begin < t[2] <= end] for side in both])
-        begin = end
-    return out
+    ends = {t[2] for t in both[0]} & {t[2] for t in both[1]}
+    sides = []
+    for side in both:
+        parts = [[]]
+        for i, _, end in side:
+            parts[-1].append(i)
+            if end in ends:
+                parts.append([])
+        sides.append(parts[:-1])
+    return list(zip(*sides))
 
 
 def brute_report(rows, vocabularies):
