@@ -6,8 +6,8 @@ product A·Bᵀ, made row by row (Gustavson), has an entry for each pair of toke
 overlap: the links. Offsets where a token of both ends cut the text into groups, and the
 product of the token-group incidences stands for the pairs that share a group.
 
-Neither vocabulary joins a blank to what stands before it when a visible character follows
-(B has no piece with a mark for a blank behind something else). Texts are cut there, so a
+Neither vocabulary joins a blank to what stands before it when a visible character follows, nor
+ASCII punctuation to a letter or digit before it (B has no such pieces, which is checked). Texts are cut there, so a
 segment's tokens, links and groups are its own, and each distinct segment is aligned once.
 
 How many documents hold an id pair linked is counted over the whole corpus: tasks write
@@ -36,7 +36,7 @@ from meterlane.session import materialize
 # Pairs of (document, id pair) after which a chunk ends; the task that adds up holds one chunk.
 CHUNK_ENTRIES = 4_000_000
 # Segments kept between portions of a task; beyond it the store starts anew.
-STORE_SEGMENTS = 150_000
+STORE_SEGMENTS = 300_000
 # Longer segments are aligned but not kept.
 KEPT_BYTES = 64
 PORTION_BYTES = 1 << 20
@@ -50,6 +50,11 @@ _VISIBLE[0x21:0x7F] = True
 # Lead bytes that can't begin a white space character outside ASCII.
 _VISIBLE[0xC3:0xF5] = True
 _VISIBLE[[0xE1, 0xE2, 0xE3]] = False
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[0x21:0x7F] = True
+_PUNCTUATION &= ~_ALNUM
 
 _SHARED: dict[tuple[str, str], Aligner] = {}
 
@@ -165,8 +170,10 @@ class Aligner:
         pieces = [self.tokenizer_b.id_to_piece(i) for i in range(self.tokenizer_b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()
                         for p in pieces]
-        if any(re.search("[^▁]▁", p) for p in pieces):
-            raise ValueError("texts can't be cut at blanks: a piece has a blank behind another character")
+        own = [p for i, p in enumerate(pieces) if not (self.tokenizer_b.is_byte(i) or self.tokenizer_b.is_control(i)
+                                                        or self.tokenizer_b.is_unknown(i))]
+        if any(re.search(r"[^▁]▁|[0-9A-Za-z][!-/:-@\[-`{-~]|\n", p) for p in own):
+            raise ValueError("texts can't be cut: a piece goes over a blank, a line break or the end of a word")
         self.size_a, self.size_b = (np.array([len(x) for x in v], np.int64) for v in (self.bytes_a, self.bytes_b))
         self._clear()
 
@@ -188,7 +195,9 @@ class Aligner:
     def _learn(self, segments: list[bytes]) -> None:
         texts = [s.decode() for s in segments]
         a = [e.ids for e in self.tokenizer_a.encode_batch(texts, add_special_tokens=False)]
-        b = self.tokenizer_b.encode([t[1:] for t in texts], num_threads=1)
+        # B puts a blank in front: the segment's own, or one that a line break keeps apart from it.
+        b = self.tokenizer_b.encode([t[1:] if t[0] == " " else "\n" + t for t in texts], num_threads=1)
+        b = [ids if t[0] == " " else ids[2:] for t, ids in zip(texts, b)]
         right = np.zeros(len(segments), bool)
         for i, segment in enumerate(segments):
             right[i] = (b"".join([self.bytes_a[k] for k in a[i]]) == segment
@@ -219,6 +228,7 @@ class Aligner:
         cut = np.zeros(len(data) + 1, bool)
         if len(data) > 2:
             cut[1:-2] = (data[1:-1] == 0x20) & (data[:-2] != 0x20) & _VISIBLE[data[2:]]
+            cut[1:-1] |= _ALNUM[data[:-1]] & _PUNCTUATION[data[1:]]
             # What begins the next text doesn't cut the end of this one.
             cut[np.maximum(offsets[1:] - 1, 0)] = False
         cut[offsets] = True
