@@ -9,6 +9,8 @@ from meterlane.operators import cleaning
 from meterlane.plans.catalog import query
 from meterlane.plans.sqltext import TRIPS
 from meterlane.plans.stand_ins import IS_YELLOW_SQL, Data
+from meterlane.session import new_path
+from meterlane.sinks import versioned
 
 RAW_COMMON = {"VendorID": "vendor_code", "PULocationID": "pickup_id", "DOLocationID": "dropoff_id",
               "passenger_count": "passenger_count", "trip_distance": "distance",
@@ -325,5 +327,8 @@ def count_zero_values(data: Data):
 @query("delete_where", f"""{TRIPS} SELECT order_key, pickup_id, fare FROM trips
  WHERE NOT coalesce(pickup_id = 3 AND fare > 50000, false)""")
 def delete_where(data: Data):
-    trips = data.trips("order_key", "pickup_id", "fare")
-    return cleaning.deleted_where(trips, (F.col("pickup_id") == 3) & (F.col("fare") > 50000))
+    path = new_path(data.spark, "delete-where")
+    versioned.load(data.trips("order_key", "pickup_id", "fare"), path)
+    for _ in range(2):
+        table = versioned.delete_where(data.spark, path, (F.col("pickup_id") == 3) & (F.col("fare") > 50000))
+    return table

@@ -14,7 +14,7 @@ from meterlane.plans import sqltext
 from meterlane.plans.catalog import query
 from meterlane.plans.stand_ins import Data
 from meterlane.session import new_path
-from meterlane.sinks import tables
+from meterlane.sinks import tables, versioned
 from meterlane.sources import cursor, files
 
 
@@ -137,16 +137,16 @@ def customers(data: Data) -> DataFrame:
 @query("load_replace", CUSTOMER)
 def load_replace(data: Data):
     path = new_path(data.spark, "replace")
-    tables.load(customers(data), path)
-    return tables.load(customers(data), path)
+    versioned.load(customers(data), path)
+    return versioned.load(customers(data), path)
 
 
 @query("load_append", f"{CUSTOMER} UNION ALL {CUSTOMER} WHERE c_nationkey < 12")
 def load_append(data: Data):
     path = new_path(data.spark, "append")
-    tables.load(customers(data), path)
+    versioned.load(customers(data), path)
     again = data.table("customer").filter("c_nationkey < 12").select("c_custkey", "c_name", "c_mktsegment")
-    return tables.load(again, path, "append")
+    return versioned.load(again, path, "append")
 
 
 LINE_KEY = ("l_orderkey", "l_linenumber", "l_shipdate")
@@ -161,8 +161,8 @@ def merge_insert_only(data: Data):
     hashed = data.table("lineitem").select(keys.row_hash(*LINE_KEY).alias("unique_row_id"),
                                            "l_returnflag", "l_linestatus", "l_quantity")
     path = new_path(data.spark, "insert-only")
-    tables.load(hashed.filter("l_returnflag <> 'R'"), path)
-    return tables.load(hashed.filter("l_returnflag <> 'A'"), path, "insert_only", ["unique_row_id"])
+    versioned.load(hashed.filter("l_returnflag <> 'R'"), path)
+    return versioned.load(hashed.filter("l_returnflag <> 'A'"), path, "insert_only", ["unique_row_id"])
 
 
 def versions(data: Data) -> tuple[DataFrame, DataFrame]:
@@ -179,9 +179,9 @@ def versions(data: Data) -> tuple[DataFrame, DataFrame]:
 def merge_upsert(data: Data):
     old, new = versions(data)
     path = new_path(data.spark, "merge")
-    tables.load(old, path)
-    tables.load(new, path, "merge", ["c_custkey"])
-    return tables.load(new, path, "merge", ["c_custkey"])
+    versioned.load(old, path)
+    versioned.load(new, path, "merge", ["c_custkey"])
+    return versioned.load(new, path, "merge", ["c_custkey"])
 
 
 @query("merge_by_partition", """SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1997 THEN 'merged' ELSE o_orderstatus END AS status,
@@ -206,8 +206,13 @@ def load_time_interval(data: Data):
     target = data.table("orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     rerun = (data.table("orders").filter("o_orderstatus <> 'P'").select("o_orderkey", "o_orderdate", "o_totalprice")
              .withColumn("o_totalprice", F.col("o_totalprice") + 1))
-    start, end = (F.lit(d).cast("timestamp_ntz") for d in ("1997-03-01", "1997-04-01"))
-    return merging.replace_interval(target, rerun, "o_orderdate", start, end)
+    path = new_path(data.spark, "interval")
+    # Sorted by time, so that an interval lies in few files.
+    versioned.load(target.repartitionByRange(8, "o_orderdate"), path)
+    inside = within("o_orderdate", "1997-03-01", "1997-04-01")
+    for _ in range(2):
+        table = versioned.replace_where(rerun, path, inside)
+    return table
 
 
 @query("load_replace_days", """SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type FROM events
@@ -226,8 +231,12 @@ def load_replace_days(data: Data):
  (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
  UNION ALL SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag = 'R'""")
 def load_delete_insert(data: Data):
+    path = new_path(data.spark, "delete-insert")
     lines = data.table("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    return merging.delete_insert(lines, lines.filter("l_returnflag = 'R'"), ["l_orderkey"])
+    versioned.load(lines, path)
+    for _ in range(2):
+        table = versioned.delete_insert(lines.filter("l_returnflag = 'R'"), path, ["l_orderkey"])
+    return table
 
 
 @query("incremental_hwm", """SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate > (SELECT max(o_orderdate) FROM orders
@@ -236,8 +245,8 @@ def incremental_hwm(data: Data):
     path = new_path(data.spark, "hwm")
     orders = data.table("orders").select("o_orderkey", "o_orderdate")
     early = orders.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
-    tables.load(early.withColumn("load_run", F.lit("first")), path)
-    return tables.load_newer(orders.withColumn("load_run", F.lit("second")), path, "o_orderdate", ["o_orderkey"])
+    versioned.load(early.withColumn("load_run", F.lit("first")), path)
+    return versioned.load_newer(orders.withColumn("load_run", F.lit("second")), path, "o_orderdate", ["o_orderkey"])
 
 
 @query("incremental_cursor", """SELECT 1 AS run, count(*) AS loaded FROM events WHERE ts >= '2024-01-10'
@@ -257,16 +266,16 @@ def evolve_columns(data: Data):
     first = events.filter("event_type <> 'purchase'").select("event_id", "event_type")
     second = events.filter("event_type = 'purchase'").select("event_id", "event_type", "value")
     path = new_path(data.spark, "evolve")
-    tables.load(first, path)
-    return tables.load(second, path, "append")
+    versioned.load(first, path)
+    return versioned.load(second, path, "append")
 
 
 @query("full_refresh", f"{CUSTOMER} WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
 def full_refresh(data: Data):
     path = new_path(data.spark, "refresh")
-    tables.load(customers(data), path)
+    versioned.load(customers(data), path)
     some = customers(data).filter("c_mktsegment IN ('BUILDING', 'MACHINERY')")
-    return tables.load(some, path, "merge", ["c_custkey"], full_refresh=True)
+    return versioned.load(some, path, "merge", ["c_custkey"], full_refresh=True)
 
 
 @query("backfill_missing_months", """SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n,
@@ -283,27 +292,29 @@ def backfill_missing_months(data: Data):
     return everything.groupBy(F.col("month").cast("string").alias("month"), "written_by").agg(F.count("*").alias("n"))
 
 
-SCD_SQL = """WITH v2 AS (SELECT c_custkey, c_name, CASE c_mktsegment WHEN 'BUILDING' THEN 'HOUSING' ELSE c_mktsegment END
- AS c_mktsegment FROM customer WHERE c_mktsegment <> 'FURNITURE'),
- v1 AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment <> 'MACHINERY'),
- j AS (SELECT v1.*, v2.c_custkey IS NULL OR v1.c_name <> v2.c_name OR v1.c_mktsegment <> v2.c_mktsegment AS ended
- FROM v1 LEFT JOIN v2 ON v1.c_custkey = v2.c_custkey)
- SELECT c_custkey, c_name, c_mktsegment, TIMESTAMP '2024-01-01' AS valid_from,
- CASE WHEN ended THEN TIMESTAMP '2024-02-01' END AS valid_to FROM j
- UNION ALL SELECT v2.*, TIMESTAMP '2024-02-01', NULL FROM v2 LEFT JOIN v1 ON v1.c_custkey = v2.c_custkey
- WHERE v1.c_custkey IS NULL OR v1.c_name <> v2.c_name OR v1.c_mktsegment <> v2.c_mktsegment"""
+SCD_SQL = """WITH d AS (SELECT unnest([1, 2, 3]) AS n),
+ s AS (SELECT c_custkey, c_name, n, CASE WHEN n > 1 AND c_mktsegment = 'BUILDING' AND (n = 2 OR c_nationkey < 12) THEN 'HOUSING'
+ ELSE c_mktsegment END AS c_mktsegment, NOT (n = 1 AND c_mktsegment = 'MACHINERY' OR n = 2 AND c_mktsegment = 'FURNITURE') AS here
+ FROM customer, d),
+ c AS (SELECT *, make_timestamp(2024, n, 1, 0, 0, 0) AS at, here AND NOT coalesce(lag(here) OVER w AND lag(c_mktsegment) OVER w = c_mktsegment, false) AS opened,
+ NOT here OR lag(c_mktsegment) OVER w IS DISTINCT FROM c_mktsegment AS differs FROM s WINDOW w AS (PARTITION BY c_custkey ORDER BY n))
+ SELECT a.c_custkey, any_value(a.c_name) AS c_name, any_value(a.c_mktsegment) AS c_mktsegment, a.at AS valid_from, min(b.at) AS valid_to
+ FROM c AS a LEFT JOIN c AS b ON a.c_custkey = b.c_custkey AND b.n > a.n AND b.differs WHERE a.opened GROUP BY a.c_custkey, a.at"""
 
 
 @query("scd2_snapshot", SCD_SQL)
 def scd2_snapshot(data: Data):
-    def at(day):
-        return F.lit(day).cast("timestamp_ntz")
-
-    history = (customers(data).filter("c_mktsegment <> 'MACHINERY'").withColumn("valid_from", at("2024-01-01"))
-               .withColumn("valid_to", F.lit(None).cast("timestamp_ntz")))
-    segment = F.when(F.col("c_mktsegment") == "BUILDING", "HOUSING").otherwise(F.col("c_mktsegment"))
-    current = customers(data).filter("c_mktsegment <> 'FURNITURE'").withColumn("c_mktsegment", segment)
-    return merging.scd2(history, current, "c_custkey", ["c_name", "c_mktsegment"], at("2024-02-01"))
+    path = new_path(data.spark, "history")
+    source = data.table("customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    housing = F.when(F.col("c_mktsegment") == "BUILDING", "HOUSING").otherwise(F.col("c_mktsegment"))
+    partly = F.when(F.col("c_nationkey") < 12, housing).otherwise(F.col("c_mktsegment"))
+    deliveries = (source.filter("c_mktsegment <> 'MACHINERY'"),
+                  source.filter("c_mktsegment <> 'FURNITURE'").withColumn("c_mktsegment", housing),
+                  source.withColumn("c_mktsegment", partly))
+    for month, delivery in enumerate(deliveries, 1):
+        at = F.lit(f"2024-{month:02}-01").cast("timestamp_ntz")
+        table = versioned.load_history(delivery, path, "c_custkey", ["c_name", "c_mktsegment"], at)
+    return table
 
 
 @query("materialize_view_table", "SELECT 'view' AS kind, count(*) AS n FROM orders UNION ALL SELECT 'table', count(*) FROM orders")

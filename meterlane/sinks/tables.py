@@ -1,4 +1,4 @@
-"""File layout of written tables and the load strategies on top of it."""
+"""File layout of written tables, and loads that replace whole partitions. Loads by row are in ``versioned``."""
 
 from __future__ import annotations
 
@@ -7,12 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlane.operators.merging import missing_rows, newer_than_target, upsert
+from meterlane.operators.merging import upsert
 from meterlane.session import materialize
 
-# Up to this many partition values are put into a filter.
-PARTITION_LIST_LIMIT = 10_000
-
 
 def write_files(df: DataFrame, path: str, files: int, **options: str) -> None:
     """Parquet with a chosen number of files."""
@@ -49,20 +46,14 @@ def create_table(df: DataFrame, name: str, path: str) -> None:
     df.write.mode("overwrite").option("path", path).saveAsTable(name)
 
 
-def create_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int,
-                    most_rows_per_key: int = 10_000_000) -> bool:
+def create_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
     """Store a table in sorted buckets, so that joins on the key need no shuffle.
 
-    A bucket is read by one task and is never split, so a table with a hot key is
-    stored without buckets; its joins then shuffle and AQE splits the hot key.
+    A bucket is read by one task and is never split: for a table with a hot key, take
+    ``create_table`` instead; its joins shuffle and AQE splits the hot key.
     """
-    hottest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    writer = df.write.mode("overwrite").option("path", path)
-    if bucketed := hottest <= most_rows_per_key:
-        writer = df.repartition(buckets, key).write.mode("overwrite").option("path", path)
-        writer = writer.bucketBy(buckets, key).sortBy(key)
-    writer.saveAsTable(name)
-    return bucketed
+    writer = df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
 
 
 def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -83,31 +74,6 @@ def write_external(df: DataFrame, format_name: str, options: dict[str, str],
     df.write.format(format_name).options(**options).mode(mode).save()
 
 
-def load(df: DataFrame, path: str, strategy: str = "replace", keys: Sequence[str] = (),
-         full_refresh: bool = False) -> DataFrame:
-    """Load rows into the table at ``path`` and return the table.
-
-    ``replace`` overwrites, ``append`` keeps duplicates, ``insert_only`` appends the
-    rows with new keys, ``merge`` replaces rows by key. ``full_refresh`` turns any
-    strategy into ``replace``.
-    """
-    spark = df.sparkSession
-    if full_refresh or strategy == "replace":
-        df.write.mode("overwrite").parquet(path)
-    elif strategy == "append":
-        df.write.mode("append").parquet(path)
-    elif strategy == "insert_only":
-        # Only the new rows are written; what the target has is not rewritten.
-        fresh = materialize(missing_rows(spark.read.parquet(path), df, keys), "insert")
-        fresh.write.mode("append").parquet(path)
-    elif strategy == "merge":
-        merged = materialize(upsert(spark.read.parquet(path), df, keys), "merge")
-        merged.write.mode("overwrite").parquet(path)
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
 def merge_partitions(df: DataFrame, path: str, keys: Sequence[str], by: str) -> DataFrame:
     """Upsert that rewrites only the partitions the new rows fall into.
 
@@ -124,21 +90,13 @@ def merge_partitions(df: DataFrame, path: str, keys: Sequence[str], by: str) ->
 def _partitions_of(target: DataFrame, df: DataFrame, by: str) -> DataFrame:
     """The target's rows in the partitions that ``df`` has rows for.
 
-    The list of partitions becomes a filter on the partition column, so the scan
-    opens no other folder; a very long list becomes a semi-join instead.
+    The list of partitions becomes a filter on the partition column, so the scan opens no
+    other folder. The write puts all of them into folders, so the list is one that Spark's own
+    file index holds as well.
     """
-    touched = df.select(F.col(by).alias("__touched")).distinct()
-    values = [row[0] for row in touched.limit(PARTITION_LIST_LIMIT + 1).collect()]
-    if len(values) <= PARTITION_LIST_LIMIT:
-        named = F.col(by).isin([v for v in values if v is not None])
-        return target.filter(named | F.col(by).isNull() if None in values else named)
-    return target.join(touched, F.col(by).eqNullSafe(F.col("__touched")), "left_semi")
-
-
-def load_newer(source: DataFrame, path: str, time: str, keys: Sequence[str]) -> DataFrame:
-    """Incremental model: rows beyond the target's newest time, merged by key."""
-    target = source.sparkSession.read.parquet(path)
-    return load(newer_than_target(target, source, time), path, "merge", keys)
+    values = [row[0] for row in df.select(by).distinct().collect()]
+    named = F.col(by).isin([v for v in values if v is not None])
+    return target.filter(named | F.col(by).isNull() if None in values else named)
 
 
 def replace_days(df: DataFrame, path: str, by: str, first: str, last: str) -> DataFrame:

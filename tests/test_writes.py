@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterlane.functions import keys
 from meterlane.operators import joins, merging, quality
 from meterlane.session import materialize, new_path, release, shared_root
-from meterlane.sinks import tables
+from meterlane.sinks import tables, versioned
 from meterlane.sources import cursor, files, relational
 
 
@@ -25,17 +25,17 @@ def people(spark):
 
 def test_append_keeps_duplicates(spark, people):
     path = new_path(spark, "people")
-    tables.load(people[0], path)
-    table = tables.load(people[1], path, "append")
+    versioned.load(people[0], path)
+    table = versioned.load(people[1], path, "append")
     assert tuple(table.agg(F.count("*"), F.sum("Age")).first()) == (11, 353)
     assert table.filter("Occupation IS NULL").count() == 5
 
 
 def test_merge_replaces_by_key(spark, people):
     path = new_path(spark, "people")
-    tables.load(people[0], path)
+    versioned.load(people[0], path)
     for _ in range(2):
-        table = tables.load(people[1], path, "merge", ["ID"])
+        table = versioned.load(people[1], path, "merge", ["ID"])
         assert tuple(table.agg(F.count("*"), F.sum("Age")).first()) == (8, 266)
     assert table.filter("ID = 3").first()["Age"] == 33
 
@@ -49,21 +49,21 @@ def test_upsert_counts_a_repeated_source_key_once(spark, people):
 
 def test_insert_only_keeps_source_duplicates_once_run_again(spark, people):
     path = new_path(spark, "insert")
-    tables.load(people[0].filter("ID < 3"), path)
+    versioned.load(people[0].filter("ID < 3"), path)
     twice = people[0].unionByName(people[0])
-    assert tables.load(twice, path, "insert_only", ["ID"]).count() == 2 + 6
-    assert tables.load(twice, path, "insert_only", ["ID"]).count() == 2 + 6
+    assert versioned.load(twice, path, "insert_only", ["ID"]).count() == 2 + 6
+    assert versioned.load(twice, path, "insert_only", ["ID"]).count() == 2 + 6
 
 
 def test_full_refresh_overrides_strategy(spark, people):
     path = new_path(spark, "refresh")
-    tables.load(people[0], path)
-    assert tables.load(people[1], path, "append", full_refresh=True).count() == 6
+    versioned.load(people[0], path)
+    assert versioned.load(people[1], path, "append", full_refresh=True).count() == 6
 
 
 def test_unknown_strategy(spark, people):
     with pytest.raises(ValueError):
-        tables.load(people[0], new_path(spark, "x"), "guess")
+        versioned.load(people[0], new_path(spark, "x"), "guess")
 
 
 def test_merge_partitions_touches_only_its_partitions(spark):
@@ -81,9 +81,7 @@ def files_of(spark, path):
     return set(spark.read.parquet(path).inputFiles())
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_merge_partitions_keeps_rows_without_partition(spark, monkeypatch, limit):
-    monkeypatch.setattr(tables, "PARTITION_LIST_LIMIT", limit)
+def test_merge_partitions_keeps_rows_without_partition(spark):
     path = new_path(spark, "null-part")
     rows = "id long, p string"
     tables.write_partitioned(spark.createDataFrame([(1, None), (2, "a"), (3, "b")], rows), path, ["p"])
@@ -155,13 +153,6 @@ def test_scd2_twice_changes_nothing(spark):
     assert rows == [(1, "a", True), (2, "b", False), (2, "c", True), (3, "d", True)]
 
 
-def test_bucketing_is_refused_for_a_hot_key(spark):
-    frame = spark.range(100).select(F.lit(1).alias("k"), "id")
-    name = "bucket_" + new_path(spark, "b").rsplit("-", 1)[1]
-    assert not tables.create_bucketed(frame, name, new_path(spark, "b"), "k", 4, most_rows_per_key=50)
-    assert spark.table(name).count() == 100
-
-
 def test_backfill_of_nothing_done(spark):
     frame = spark.createDataFrame([(1, "2024-01"), (2, "2024-02")], "id int, month string")
     assert tables.backfill(frame, new_path(spark, "fill"), "month", None).count() == 2
