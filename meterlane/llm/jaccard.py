@@ -9,13 +9,15 @@ Two texts link when ``size * intersection >= share * union`` of their n-gram set
 3. Each class orders its n-grams rare first. A text can only link if all but a few of its
    n-grams are shared, so most texts end here; the others keep their prefix.
 4. Candidates share a prefix n-gram and pass the length, positional and suffix filters.
-   In a first part each n-gram's posting list is compared with a few pivots, as often as that
-   joins components; posting lists of one component need no more pairs. What is left, texts
-   of different components that share a prefix n-gram, is compared pair by pair, and the
-   positional filter counts all prefix n-grams of a pair. Each text's likeliest candidates go
+   In a first part each n-gram's posting list is compared with a few pivots, as long as a turn
+   halves the pairs that are left; posting lists of one component need no more pairs. What is left, texts
+   of different components that share a prefix n-gram, is compared inside the join on the
+   n-gram: each text brings a bitmap of its set, and what two bitmaps differ in bounds the
+   intersection from above, so that pairs which can't link leave no row. The
+   positional filter then counts all prefix n-grams of a pair. Each text's likeliest candidates go
    first, then those that are still of different components: no link between components
    can be missed, and a group of k near copies costs about k pairs.
-5. Every pair is verified once on the whole sets.
+5. What passes is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -30,18 +32,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlane.llm.components import connected
-from meterlane.llm.words import distinct_sets, mixed, ngrams, portions, text_bytes, words_of
+from meterlane.llm.words import distinct_sets, give_back, mixed, ngrams, portions, text_bytes, words_of
 from meterlane.session import materialize, slice_count
 
 # n-grams of the texts that one task holds while frequencies are exchanged.
 CHUNK_GRAMS = 2_000_000
-# Pivots that a posting list is compared with in a turn, and turns in a row that may bring little.
+# Pivots that a posting list is compared with in a turn.
 PIVOTS = 8
-PATIENCE = 2
 # Candidates of a text that are verified before the others.
 FIRST = 4
 # Cells of the suffix filter.
 CELLS = 16
+# 64-bit words of a set's bitmap.
+BITMAP_WORDS = 16
 
 
 def similar_components(docs: DataFrame, n: int = 5, share: int = 80, size: int = 100,
@@ -114,12 +117,15 @@ def class_links(texts: DataFrame, signs: DataFrame, n: int, share: int, size: in
         return _send(table, **how)
 
     def order(table: pa.Table, replies: pa.Table) -> pa.Table:
-        return _order(table, replies, share=share, size=size, **how)
+        try:
+            return _order(table, replies, share=share, size=size, **how)
+        finally:
+            give_back()
 
     sent = firsts.groupBy("chunk").applyInArrow(send, "part int, chunk int, cells binary")
     replies = sent.groupBy("part").applyInArrow(_count, "chunk int, part int, places binary, classes binary")
     ordered = firsts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
-        order, "node binary, n int, start int, stop int, grams array<long>, cells array<int>")
+        order, "node binary, n int, start int, stop int, grams array<long>, cells array<int>, bits array<long>")
     # Texts of one set that differ otherwise come from different chunks.
     sets = materialize(ordered.dropDuplicates(["node"]), "rare-first")
     return _link(sets, share, size)
@@ -156,6 +162,7 @@ def _sign(batches, n: int):
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), _binary(sig, sizes > 0), pa.array(sizes, pa.int64())],
                 ["doc_id", "sig", "n_shingles"])
+    give_back()
 
 
 def _first_texts(batches, chunks: int):
@@ -270,7 +277,7 @@ def _order(table: pa.Table, replies: pa.Table, n: int, chunks: int, bits: int, s
     classes = np.zeros(len(own), np.uint8)
     for part, places, found in zip(*(replies.column(c).to_pylist() for c in ("part", "places", "classes"))):
         classes[edges[part] + _unpacked(places)] = np.frombuffer(found, np.uint8)
-    out = {"node": [], "n": [], "start": [], "stop": [], "grams": [], "cells": []}
+    out = {"node": [], "n": [], "start": [], "stop": [], "grams": [], "cells": [], "bits": []}
     for g, first, sig, sizes in classes_of:
         shared = classes[np.searchsorted(own, _cells(g, bits))]
         many = np.concatenate([[0], np.cumsum(shared > 0)])
@@ -284,10 +291,19 @@ def _order(table: pa.Table, replies: pa.Table, n: int, chunks: int, bits: int, s
             out["stop"].append(int(sizes[i] - needed[i] + 1))
             out["grams"].append(grams[order].view(np.int64))
             out["cells"].append(np.bincount((grams % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.int32))
-    kinds = {"node": pa.binary(), "grams": pa.list_(pa.int64()), "cells": pa.list_(pa.int32())}
+            out["bits"].append(_bitmap(grams))
+    kinds = {"node": pa.binary(), "grams": pa.list_(pa.int64()), "cells": pa.list_(pa.int32()), "bits": pa.list_(pa.int64())}
     return pa.table({k: pa.array(v, kinds.get(k, pa.int32())) for k, v in out.items()})
 
 
+def _bitmap(grams: np.ndarray) -> np.ndarray:
+    """For each bit, whether an odd number of n-grams falls there. An n-gram that only one of two
+    sets has turns one bit, so bitmaps of two sets differ in as many bits as the sets in n-grams, at most."""
+    size = 64 * BITMAP_WORDS
+    odd = np.bincount((mixed(grams) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 # --- candidates and links ----------------------------------------------------------------
 
 def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
@@ -295,13 +311,11 @@ def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
         "node", "n", "start", F.posexplode(F.slice("grams", F.col("start") + 1, F.col("stop") - F.col("start")))).select(
         "node", "n", (F.col("start") + F.col("pos")).alias("pos"), F.col("col").alias("gram"), F.col("node").alias("comp"))
     rows = materialize(_several(prefixes), "postings")
-    links, turn, idle, few, before = [], 0, 0, None, math.inf
+    links, turn, before = [], 0, math.inf
     while True:
         waiting, postings = _pending(rows)
-        few = few or 8 * postings
-        idle = idle + 1 if waiting > 0.9 * before else 0
-        # Comparing all that wait is cheap enough, or pivots have stopped making them fewer.
-        if waiting <= few or idle == PATIENCE:
+        # Comparing all that wait is cheap enough, or pivots don't make them much fewer.
+        if waiting <= 8 * postings or 2 * waiting > before:
             break
         before = waiting
         # A text is drawn for all its n-grams alike, so that those of a group share their pivots
@@ -318,11 +332,15 @@ def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
             rows = materialize(_several(_merged(rows, found)), "postings")
     most = (rows.groupBy("gram", "comp").count().groupBy("gram")
             .agg(F.max_by("comp", F.struct("count", "comp")).alias("most")))
-    marked = rows.join(most, "gram")
+    marked = rows.join(most, "gram").join(sets.select("node", "bits"), "node")
     left = marked.filter("comp != most")
     right = marked.select("gram", F.col("node").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"),
-                          F.col("comp").alias("c"), (F.col("comp") == F.col("most")).alias("main"))
-    pairs = left.join(right, "gram").filter("comp != c AND (main OR node < other)")
+                          F.col("comp").alias("c"), (F.col("comp") == F.col("most")).alias("main"), F.col("bits").alias("others"))
+    # All in the join's condition: pairs that can't link never become rows.
+    differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("others")[k])) for k in range(BITMAP_WORDS)), F.lit(0))
+    total = F.col("n") + F.col("m")
+    alike = (F.least("n", "m") * size >= F.greatest("n", "m") * share) & ((total - differ) * (share + size) >= 2 * share * total)
+    pairs = left.join(right, "gram").filter("comp != c AND (main OR node < other)").filter(alike)
     waiting = materialize(_meeting(pairs, share, size), "candidates")
     # A text's likeliest candidates first: most pairs are then of one component and need no verification.
     both = waiting.select("node", "other", "most").union(waiting.select("other", "node", "most"))

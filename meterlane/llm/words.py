@@ -8,6 +8,7 @@ larger than a portion makes a larger one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -36,6 +37,13 @@ _BASE_POWERS = np.ones(1, np.uint64)
 _INVERSE_POWERS = np.ones(1, np.uint64)
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system; it outlives its task and others need the memory."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Words(NamedTuple):
     """Words of some texts: ``hashes[first[i]:first[i + 1]]`` belong to text i."""
 

@@ -103,6 +103,28 @@ def test_components(spark, texts, n, share):
     assert {r[0]: (r[1], r[2]) for r in rows_of(got)} == brute_components(chosen, n, share)
 
 
+def test_group_that_shares_ngrams_without_links(spark):
+    """Texts of one group share three quarters of their words in order, and few of them link."""
+    rng = np.random.default_rng(8)
+    shared = [f"s{k}" for k in range(60)]
+    chosen = {}
+    for k in range(220):
+        words = list(shared)
+        for at in rng.choice(60, 1 if k % 20 == 0 else 6, replace=False):
+            words[at] = f"x{rng.integers(40)}"
+        chosen[k] = " ".join(words)
+    got = jaccard.similar_components(spark.createDataFrame(list(chosen.items()), "doc_id long, text string"), 3, 80)
+    assert {r[0]: (r[1], r[2]) for r in rows_of(got)} == brute_components(chosen, 3, 80)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 2**32 - 1), st.integers(0, 3000), st.integers(0, 300), st.integers(0, 300))
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_members(seed, both, left, right):
+    grams = np.random.default_rng(seed).integers(0, 1 << 64, both + left + right, np.uint64)
+    one, other = (jaccard._bitmap(g) for g in (grams[:both + left], np.concatenate([grams[:both], grams[both + left:]])))
+    assert sum(bin(int(x) & (1 << 64) - 1).count("1") for x in one ^ other) <= left + right
+
+
 def test_components_of_odd_rows(odd, empty):
     got = collections.Counter(rows_of(jaccard.similar_components(odd, 5, 80)))
     assert got[(2, 13, 1)] == 2 and got[(None, 13, 1)] == 1 and got[(3, 14, 1)] == 1
