@@ -27,7 +27,9 @@ TRAINING_DOCS = 20_000
 LEAST_DOCS, LEAST_Z, FEATURES = 4, 5.0, 4096
 # Lengths of word beginnings, in bytes.
 PREFIXES = (5, 6, 7)
-PENALTY, RIDGE, STEPS, RATE = 1.0, 3e-4, 600, 0.5
+PENALTY, RIDGE = 1.0, 3e-4
+# Newton steps, and steps of conjugate gradients inside each, at most.
+NEWTON_STEPS, INNER_STEPS = 60, 200
 # A missed toxic document counts as much as this many clean ones that are rejected.
 TOXIC_WEIGHT = 3.0
 
@@ -53,11 +55,13 @@ class Model(NamedTuple):
     constant: float
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS, penalty: float = PENALTY) -> Model:
     """Fit on labelled documents outside the held-out fold.
 
-    Labels with a null id or class are left out; of several for an id the toxic one counts.
-    Without a document of each class, every score is the share of toxic labels, or 0.
+    Labels with a null id or class are left out; of several for an id the toxic one counts. Null and
+    empty texts are documents without words; rows that repeat count each. Identity terms are always among the
+    features, so that the penalty holds for all of them. Without a document of each class, every
+    score is the share of toxic labels, or 0; without words that tell the classes apart, it is the constant's.
     """
     chosen = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~in_held_out())
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -77,11 +81,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS) -> Mode
     z = (per_cell["bad"] - expected) / np.sqrt(expected * (1 - share))
     table = per_cell.assign(z=z.abs())
     table = table[table.z >= LEAST_Z].sort_values(["z", "cell"], ascending=[False, True]).head(FEATURES)
-    features = np.sort(table["cell"].to_numpy())
-    picked = F.array(*[F.lit(int(c)) for c in features]) if len(features) else F.array().cast("array<int>")
+    identity = (_swap_table()[:, 0] >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    features = np.union1d(table["cell"].to_numpy().astype(np.int64), identity)
+    picked = F.array(*[F.lit(int(c)) for c in features])
     kept = examples.select("toxic", F.array_intersect("cells", picked).alias("a"),
                            F.array_intersect("swapped", picked).alias("b")).toPandas()
-    found, constant = _fit(kept, features)
+    found, constant = _fit(kept, features, penalty)
     weights[features] = found
     return Model(weights, constant)
 
@@ -162,27 +167,62 @@ def _scores(texts: pa.Array, cells: np.ndarray, weights: np.ndarray, constant: f
     return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
 
-def _fit(rows, features: np.ndarray) -> tuple[np.ndarray, float]:
-    """Gradient descent with momentum on log loss, ridge and the counterfactual penalty."""
+def _fit(rows, features: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
+    """Weights and constant that minimise log loss, ridge and the counterfactual penalty.
+
+    The sum is convex. Newton steps, each solved by conjugate gradients on the sparse rows, are
+    shortened until it falls, so the fit ends at its minimum for any corpus.
+    """
     def sparse(lists):
         sizes = np.array([len(x) for x in lists], np.int64)
         flat = np.concatenate([np.asarray(x, np.int64) for x in lists]) if sizes.sum() else np.zeros(0, np.int64)
         return np.repeat(np.arange(len(sizes)), sizes), np.searchsorted(features, flat)
 
     y = rows["toxic"].to_numpy(np.float64)
+    cost = np.where(y > 0, TOXIC_WEIGHT, 1.0) / len(y)
     n, k = len(y), len(features)
     (ra, ca), (rb, cb) = sparse(rows["a"]), sparse(rows["b"])
-    times = lambda r, c, w: np.bincount(r, w[c], n)
-    back = lambda r, c, e: np.bincount(c, e[r], k)
-    w, constant = np.zeros(k), float(np.log(y.mean() / (1 - y.mean())))
-    speed, speed_c = np.zeros(k), 0.0
-    for _ in range(STEPS if k else 0):
-        a = times(ra, ca, w) + constant
-        gap = times(ra, ca, w) - times(rb, cb, w)
-        error = 1 / (1 + np.exp(-np.clip(a, -30, 30))) - y
-        error = error * np.where(y > 0, TOXIC_WEIGHT, 1.0)
-        slope = back(ra, ca, error) / n + 2 * PENALTY * (back(ra, ca, gap) - back(rb, cb, gap)) / n + RIDGE * w
-        speed = 0.9 * speed - RATE * slope
-        speed_c = 0.9 * speed_c - RATE * float(error.mean())
-        w, constant = w + speed, constant + speed_c
-    return w.astype(np.float32), constant
+    # The last entry of a vector of weights is the constant, which no ridge holds down.
+    ridge = np.append(np.full(k, RIDGE), 1e-9)
+    read = lambda w: np.bincount(ra, w[ca], n) + w[k]
+    gap = lambda w: np.bincount(ra, w[ca], n) - np.bincount(rb, w[cb], n)
+
+    def back(error: np.ndarray, pull: np.ndarray) -> np.ndarray:
+        plain = np.bincount(ca, (error + pull)[ra], k) - np.bincount(cb, pull[rb], k)
+        return np.append(plain, error.sum())
+
+    def loss(w: np.ndarray) -> float:
+        a = read(w)
+        return float((cost * np.logaddexp(0, np.where(y > 0, -a, a))).sum() + penalty * (gap(w) ** 2).mean() + (ridge * w * w).sum() / 2)
+
+    w = np.append(np.zeros(k), np.log(y.mean() / (1 - y.mean())))
+    now = loss(w)
+    for _ in range(NEWTON_STEPS):
+        p = 1 / (1 + np.exp(-np.clip(read(w), -500, 500)))
+        slope = back(cost * (p - y), 2 * penalty / n * gap(w)) + ridge * w
+        curve = cost * p * (1 - p)
+        step = _conjugate(lambda v: back(curve * read(v), 2 * penalty / n * gap(v)) + ridge * v, -slope)  # noqa: B023
+        size = 1.0
+        while (after := loss(w + size * step)) > now + 1e-4 * size * float(slope @ step) and size > 1e-9:
+            size /= 2
+        if not after < now - 1e-12:
+            break
+        w, now = w + size * step, after
+    if not np.isfinite(w).all():
+        raise ArithmeticError("the fit has no finite weights")
+    return w[:k].astype(np.float32), float(w[k])
+
+
+def _conjugate(times, right: np.ndarray) -> np.ndarray:
+    """x with times(x) = right, for a symmetric positive map; stops early once it is near."""
+    x, rest = np.zeros_like(right), right.copy()
+    way, size = rest.copy(), float(rest @ rest)
+    for _ in range(INNER_STEPS):
+        if size <= 1e-16 * float(right @ right):
+            break
+        moved = times(way)
+        pace = size / float(way @ moved)
+        x, rest = x + pace * way, rest - pace * moved
+        size, last = float(rest @ rest), size
+        way = rest + size / last * way
+    return x

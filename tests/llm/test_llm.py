@@ -249,6 +249,31 @@ def test_identity_terms_get_no_weight(spark):
     asked = spark.createDataFrame([(1, "the muslim man"), (2, "the christian woman"), (3, "an idiot")], "doc_id long, text string")
     got = {r.doc_id: r.score for r in toxicity.score(asked, model).collect()}
     assert got[1] < 0.5 and got[3] > 0.6 and got[3] > got[1] + 0.2
+    assert np.isfinite(model.weights).all()
+    own = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    assert own == {k: int(k < 100) for k, _ in bad + fine}
+    nothing = spark.createDataFrame([(1, ""), (2, None), (3, "b")], "doc_id long, text string")
+    assert all(r.score < 0.6 for r in toxicity.score(nothing, model).collect())
+
+
+def test_penalty_takes_the_weight_of_groups(spark):
+    """Toxic texts mostly name one group and clean ones the other; only some words tell the classes apart."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(400):
+        toxic = k % 2
+        group = ("muslims", "christians")[(rng.random() < 0.15) ^ (1 - toxic)]
+        word = ("idiots", "scum", "trash")[k % 3] if toxic else ("friends", "guests", "people")[k % 3]
+        rows.append((k, f"those {group} are {word if rng.random() < 0.8 else 'here'} w{rng.integers(300)} w{rng.integers(300)}", toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    asked = spark.createDataFrame([(1, "those muslims are here"), (2, "those christians are here"), (3, "they are scum")], "doc_id long, text string")
+    gaps = {}
+    for penalty in (0.0, 100.0):
+        model = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), penalty=penalty)
+        got = {r.doc_id: r.score for r in toxicity.score(asked, model).collect()}
+        gaps[penalty] = got[1] - got[2]
+        assert got[3] > 0.5
+    assert gaps[0.0] > 0.3 and abs(gaps[100.0]) < 0.05
 
 
 def test_identity_terms_get_no_weight_by_their_beginnings(spark):
