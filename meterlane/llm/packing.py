@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlane.llm.tokens import PORTION_BYTES, Encoder
-from meterlane.llm.words import portions
+from meterlane.llm.words import give_back, portions
 
 LENGTH = 1024
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -107,6 +107,8 @@ class Packer:
 
 
 def _pack(batches, tokenizer: str, end_id: int, length: int):
+    # What earlier stages left in this worker goes back before the encoder needs room.
+    give_back()
     packer, encoder = Packer(length, TaskContext.get().partitionId() * PER_PARTITION), None
     kind = None
     for batch in batches:
@@ -121,6 +123,7 @@ def _pack(batches, tokenizer: str, end_id: int, length: int):
     if kind is not None:
         packer.close()
         yield from _batches(packer, kind)
+    give_back()
 
 
 def _batches(packer: Packer, kind: pa.DataType):

@@ -224,6 +224,30 @@ def test_surrogates_stay_distinct(spark):
     assert len({r.made for r in digests}) == 1500 and not {r.made for r in digests} & {r.canon for r in digests}
 
 
+def test_surrogates_of_a_nearly_full_shape(spark):
+    """500 of the 676 addresses of one shape: drawing alone would hardly end."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.co" for a in letters for b in letters][:500]
+    texts = [(k, f"Write to {m} or {m.upper()}") for k, m in enumerate(mails)] + [(900, "Other: some.one@example.org")]
+    got = {r.doc_id: r.text for r in pii.replace_entities(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    pairs = [re.findall(r"[^ ]+@[^ ]+", got[k]) for k in range(500)]
+    assert all(b == a.upper() and re.fullmatch(r"[a-z]@[a-z]\.co", a) and a != mails[k] for k, (a, b) in enumerate(pairs))
+    assert len({a for a, _ in pairs}) == 500 and "some.one" not in got[900]
+
+
+@pytest.mark.parametrize("name", ["Mrs. Jones-Miller", "Mr McDonald", "Mr O'Brien", "MR SMITH", "Mr John d'Arc", "Mrs Ann O’Neill-McKay", "Mr Παπάς"])
+def test_whole_names_go(spark, name):
+    texts = [(1, f"Dear {name}, we met {name}.")]
+    got = pii.replace_entities(spark.createDataFrame(texts, "doc_id long, text string"), count_column="n").first()
+    title, *words = name.split(" ")
+    assert got.n == 2 and got.text.startswith(f"Dear {title} ") and got.text.endswith(".")
+    for part in re.findall(r"\w{3,}", " ".join(words)):
+        assert part not in got.text
+    first, second = got.text[5:-1].split(", we met ")
+    assert first == second and (first == first.upper()) == (name == name.upper())
+    assert bool(re.search("[Α-ω]", first)) == ("Π" in name)
+
+
 # --- 5: toxicity ---------------------------------------------------------------------------
 
 def test_toxicity(spark, odd, empty):
