@@ -44,7 +44,7 @@ FIRST = 4
 # Cells of the suffix filter.
 CELLS = 16
 # 64-bit words of a set's bitmap.
-BITMAP_WORDS = 16
+BITMAP_WORDS = 8
 
 
 def similar_components(docs: DataFrame, n: int = 5, share: int = 80, size: int = 100,
@@ -313,9 +313,9 @@ def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
     rows = materialize(_several(prefixes), "postings")
     links, turn, before = [], 0, math.inf
     while True:
-        waiting, postings = _pending(rows)
-        # Comparing all that wait is cheap enough, or pivots don't make them much fewer.
-        if waiting <= 8 * postings or 2 * waiting > before:
+        waiting = _pending(rows)
+        # Nothing waits, or pivots don't make it much less.
+        if not waiting or 2 * waiting > before:
             break
         before = waiting
         # A text is drawn for all its n-grams alike, so that those of a group share their pivots
@@ -369,12 +369,11 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.join(mixed_grams, "gram", "left_semi").select("gram", "node", "n", "pos", "comp")
 
 
-def _pending(rows: DataFrame) -> tuple[float, int]:
-    """The pairs of different components that the postings still stand for; the postings."""
+def _pending(rows: DataFrame) -> float:
+    """The pairs of different components that the postings still stand for."""
     per = rows.groupBy("gram", "comp").count().groupBy("gram").agg(
         F.sum("count").alias("k"), F.max("count").alias("main"))
-    pairs, count = per.agg(F.sum((F.col("k") - F.col("main")) * F.col("k").cast("double")), F.sum("k")).first()
-    return pairs or 0, count or 0
+    return per.agg(F.sum((F.col("k") - F.col("main")) * F.col("k").cast("double"))).first()[0] or 0
 
 
 def _passing(pairs: DataFrame, share: int, size: int) -> DataFrame:
