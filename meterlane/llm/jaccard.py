@@ -13,8 +13,7 @@ Two texts link when ``size * intersection >= share * union`` of their n-gram set
    halves the pairs that are left; posting lists of one component need no more pairs. What is left, texts
    of different components that share a prefix n-gram, is compared inside the join on the
    n-gram: each text brings a bitmap of its set, and what two bitmaps differ in bounds the
-   intersection from above, so that pairs which can't link leave no row. The
-   positional filter then counts all prefix n-grams of a pair. Each text's likeliest candidates go
+   intersection from above, so that pairs which can't link leave no row. Each text's likeliest candidates go
    first, then those that are still of different components: no link between components
    can be missed, and a group of k near copies costs about k pairs.
 5. What passes is verified on the whole sets.
@@ -340,8 +339,11 @@ def _link(sets: DataFrame, share: int, size: int) -> DataFrame:
     differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("others")[k])) for k in range(BITMAP_WORDS)), F.lit(0))
     total = F.col("n") + F.col("m")
     alike = (F.least("n", "m") * size >= F.greatest("n", "m") * share) & ((total - differ) * (share + size) >= 2 * share * total)
-    pairs = left.join(right, "gram").filter("comp != c AND (main OR node < other)").filter(alike)
-    waiting = materialize(_meeting(pairs, share, size), "candidates")
+    # The positional bound holds at the first n-gram that two prefixes share if the pair can link.
+    after = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at"))
+    near = alike & (after * (share + size) >= share * total)
+    pairs = left.join(right, "gram").filter("comp != c AND (main OR node < other)").filter(near)
+    waiting = materialize(_meeting(pairs.withColumn("most", after)), "candidates")
     # A text's likeliest candidates first: most pairs are then of one component and need no verification.
     both = waiting.select("node", "other", "most").union(waiting.select("other", "node", "most"))
     part = F.pmod(F.xxhash64("other"), F.lit(FIRST)).alias("part")
@@ -389,22 +391,14 @@ def _passing(pairs: DataFrame, share: int, size: int) -> DataFrame:
             .select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct())
 
 
-def _meeting(pairs: DataFrame, share: int, size: int) -> DataFrame:
-    """As ``_passing``, for rows that hold every n-gram that two prefixes share; with the
-    components of both and the bound on their intersection.
-
-    All texts order n-grams alike, so whatever else a pair shares lies behind the last of
-    them in both texts: their count and the shorter rest bound the intersection.
-    """
-    n, m, turned = F.col("n"), F.col("m"), F.col("node") > F.col("other")
-    alike = F.least(n, m) * size >= F.greatest(n, m) * share
-    rest = F.least(n - F.col("pos"), m - F.col("at"))
-    met = (pairs.filter(alike).select(
+def _meeting(pairs: DataFrame) -> DataFrame:
+    """Each pair once, with the components of both and the best bound on their intersection."""
+    turned = F.col("node") > F.col("other")
+    return (pairs.select(
         F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"),
         F.when(turned, F.col("c")).otherwise(F.col("comp")).alias("comp"),
-        F.when(turned, F.col("comp")).otherwise(F.col("c")).alias("c"), (n + m).alias("both"), rest.alias("rest"))
-        .groupBy("node", "other", "comp", "c", "both").agg((F.count("*") - 1 + F.min("rest")).alias("most")))
-    return met.filter(F.col("most") * (share + size) >= share * F.col("both")).drop("both")
+        F.when(turned, F.col("comp")).otherwise(F.col("c")).alias("c"), "most")
+        .groupBy("node", "other", "comp", "c").agg(F.max("most").alias("most")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, share: int, size: int) -> DataFrame:
