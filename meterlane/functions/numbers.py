@@ -1,8 +1,8 @@
-"""Exact money arithmetic and rounding that does not depend on row order."""
+"""Sums and averages of amounts, rounding and safe division."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,36 +11,28 @@ def money(col: Column | str, scale: int = 2) -> Column:
     return _c(col).cast(f"decimal(18,{scale})")
 
 
-def units(col: Column | str, scale: int = 4) -> Column:
-    """Amount as a whole number of its smallest unit (ten-thousandths by default).
-
-    Exact for amounts that have at most ``scale`` decimals and stay below 2^53 units.
-    """
-    return F.rint(_c(col).cast("double") * 10 ** scale).cast("bigint")
-
-
 def half_up(col: Column, digits: int = 2) -> Column:
     """Round half away from zero through a decimal, returned as double."""
     return F.round(col.cast("decimal(28,8)"), digits).cast("double")
 
 
-def total(col: Column | str, scale: int = 4) -> Column:
-    """Exact sum of an amount as double.
+def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Finished amounts for a report: only results are rounded, never what is added."""
+    return df.withColumns({c: half_up(F.col(c), digits) for c in columns})
 
-    Whole units are added as decimals, which neither depends on the order of the
-    rows nor overflows, and is faster than converting each double to a decimal.
-    """
-    return (F.sum(units(col, scale).cast("decimal(18,0)")) / 10 ** scale).cast("double")
 
+def total(col: Column | str) -> Column:
+    """Sum of an amount as it is declared, as double; null without values.
 
-def retotal(col: Column | str, scale: int = 4) -> Column:
-    """Sum of amounts that are sums already and may be very large."""
-    return F.sum(_c(col).cast(f"decimal(28,{scale})")).cast("double")
+    Decimals and whole numbers add exactly. Doubles add with all their decimals, and the
+    last bits of the result depend on the order of the rows, as with any sum of doubles.
+    """
+    return F.sum(_c(col)).cast("double")
 
 
-def mean(col: Column | str, scale: int = 4) -> Column:
-    """Exact sum divided by the number of non-null values, as double."""
-    return F.try_divide(total(col, scale), F.count(_c(col)))
+def mean(col: Column | str) -> Column:
+    """The sum divided by the number of non-null values, as double; null without values."""
+    return F.try_divide(total(col), F.count(_c(col)))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

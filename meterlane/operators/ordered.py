@@ -64,7 +64,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                 value: Column, name: str = "running_sum") -> DataFrame:
     """SUM over all rows of the key up to and including the current one.
 
-    ``value`` should be an integer or a decimal, so that adding partial sums is exact.
+    Integers and decimals add exactly; with doubles the last bits depend on the slices.
     """
     laid_out = positioned(df.withColumn("__value", value), keys, order)
     return _running_sum(laid_out, keys, "__value", name).drop("__value", SLICE, POSITION)

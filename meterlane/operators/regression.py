@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,11 +17,30 @@ from pyspark.sql import functions as F
 from meterlane.functions.numbers import mean
 from meterlane.operators.ordered import percentiles
 
-# Fixed values of the search: five (regParam, elasticNetParam) pairs, two at a time.
-SEARCH_POINTS = ((0.0, 0.0), (0.1, 0.0), (1.0, 0.5), (10.0, 0.5), (20.0, 1.0))
+# Fixed values of the search: the range of l1, the choices of l2, how many trials, and how many at a time.
+L1_RANGE = (0.0, 20.0)
+L2_CHOICES = (0.0, 0.1, 1.0, 10.0)
+SEARCH_TRIALS = 5
 SEARCH_PARALLELISM = 2
 # Ends the names of number columns whose gaps are filled.
 FILLED = "__filled"
+# Stands between a category column and its one-hot position.
+HOT = "__hot"
+
+
+def search_points(trials: int = SEARCH_TRIALS, seed: int = 7) -> tuple[tuple[float, float], ...]:
+    """(l1, l2) of each trial, drawn from the search space; the same for the same seed."""
+    draw = random.Random(seed)
+    return tuple((draw.uniform(*L1_RANGE), draw.choice(L2_CHOICES)) for _ in range(trials))
+
+
+SEARCH_POINTS = search_points()
+
+
+def penalty(l1: float, l2: float) -> tuple[float, float]:
+    """The two penalties as (regParam, elasticNetParam): their sum and the share of l1."""
+    both = l1 + l2
+    return both, l1 / both if both else 0.0
 
 
 def feature_table(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
@@ -46,7 +66,7 @@ def estimator(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
     """Every row counts: a missing number is the mean of the training rows, a missing or new category is one of its own."""
     filled = [f"{c}{FILLED}" for c in numeric]
     indexed = [f"{c}__index" for c in categorical]
-    encoded = [f"{c}__hot" for c in categorical]
+    encoded = [f"{c}{HOT}" for c in categorical]
     stages = []
     if categorical:
         stages = [StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
@@ -71,10 +91,11 @@ def training_summary(model: PipelineModel) -> tuple:
 
 
 def search(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]):
-    """Try the penalty pairs on one train/validation split; returns the fitted search."""
+    """Try the (l1, l2) pairs on one train/validation split; returns the fitted search."""
     pipeline = estimator(numeric, categorical)
     regression = pipeline.getStages()[-1]
-    grid = [{regression.regParam: reg, regression.elasticNetParam: mix} for reg, mix in SEARCH_POINTS]
+    grid = [{regression.regParam: reg, regression.elasticNetParam: mix}
+            for reg, mix in (penalty(l1, l2) for l1, l2 in SEARCH_POINTS)]
     return TrainValidationSplit(
         estimator=pipeline, estimatorParamMaps=grid, trainRatio=0.8, seed=7,
         evaluator=RegressionEvaluator(labelCol="label", metricName="rmse"),
@@ -151,9 +172,11 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def model_attributions(model: PipelineModel, df: DataFrame, k: int) -> DataFrame:
-    """Predictions of a fitted model with the ``k`` strongest feature positions of each row.
+    """Predictions of a fitted model with the ``k`` inputs that moved each row's prediction most.
 
-    The mean vector has one entry per feature, so it is bounded by the model's size.
+    A category's share is that of all its one-hot positions together, so that the shares of all
+    inputs add up to the prediction less the one for mean features. The mean vector has one entry
+    per position, so it is bounded by the model's size.
     """
     from pyspark.ml.stat import Summarizer
 
@@ -161,16 +184,19 @@ def model_attributions(model: PipelineModel, df: DataFrame, k: int) -> DataFrame
     centre = predicted.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
     fitted = model.stages[-1]
     groups = predicted.schema["features"].metadata["ml_attr"]["attrs"].values()
-    named = {a["idx"]: a["name"].removesuffix(FILLED) for group in groups for a in group}
+    # Positions of an input lie side by side.
+    named = sorted((a["idx"], a["name"].removesuffix(FILLED).rpartition(HOT)[0] or a["name"].removesuffix(FILLED))
+                   for group in groups for a in group)
+    positions = {name: [i for i, n in named if n == name] for name in dict.fromkeys(n for _, n in named)}
     weights = F.array(*[F.lit(float(w)) for w in fitted.coefficients.toArray()])
     means = F.array(*[F.lit(float(m)) for m in centre])
-    labels = F.array(*[F.lit(named[i]) for i in range(len(centre))])
-    values = vector_to_array("features")
-    shares = F.transform(values, lambda v, i: F.struct(
-        _strength(F.get(weights, i) * (v - F.get(means, i))).alias("rank"),
-        F.get(labels, i).alias("feature"),
-        (F.get(weights, i) * (v - F.get(means, i))).alias("attribution")))
-    strongest = F.transform(F.slice(F.sort_array(shares), 1, k),
+    by_position = F.transform(vector_to_array("features"), lambda v, i: F.get(weights, i) * (v - F.get(means, i)))
+    parts = [F.aggregate(F.slice("__shares", at[0] + 1, len(at)), F.lit(0.0), lambda a, b: a + b).alias(f"__share_{n}")
+             for n, at in enumerate(positions.values())]
+    shared = predicted.withColumn("__shares", by_position).select(*predicted.columns, *parts)
+    shares = [F.struct(_strength(F.col(f"__share_{n}")).alias("rank"), F.lit(name).alias("feature"),
+                       F.col(f"__share_{n}").alias("attribution")) for n, name in enumerate(positions)]
+    strongest = F.transform(F.slice(F.sort_array(F.array(*shares)), 1, k),
                             lambda s: F.struct(s["feature"].alias("feature"),
                                                s["attribution"].alias("attribution")))
-    return predicted.withColumn("top_attributions", strongest)
+    return shared.select(*predicted.columns, strongest.alias("top_attributions"))

@@ -1,4 +1,4 @@
-"""Grouped reports. Amounts are summed exactly; all groupings combine map-side."""
+"""Grouped reports. Amounts are summed as they are; all groupings combine map-side."""
 
 from __future__ import annotations
 

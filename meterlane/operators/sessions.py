@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlane.functions.numbers import units
+from meterlane.functions.numbers import total
 
 
 def sessions(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: int,
@@ -26,7 +26,7 @@ def sessions(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: int,
              .groupBy(*keys, F.floor(F.col("__at") / gap).alias("__cell"))
              .agg(F.min("__at").alias("__first"), F.max("__at").alias("__last"),
                   F.count(F.lit(1)).alias("__n"),
-                  *[F.sum(units(c).cast("decimal(18,0)")).alias(f"__s_{n}") for n, c in sums.items()]))
+                  *[total(c).alias(f"__s_{n}") for n, c in sums.items()]))
     in_order = Window.partitionBy(*keys).orderBy("__cell")
     apart = F.col("__first") - F.lag("__last").over(in_order)
     opens = F.when(apart.isNull() | (apart > gap), 1).otherwise(0)
@@ -38,4 +38,4 @@ def sessions(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: int,
         F.timestamp_micros(F.min("__first")).cast("timestamp_ntz").alias("session_start"),
         F.timestamp_micros(ended).cast("timestamp_ntz").alias("session_end"),
         F.sum("__n").alias("n_events"),
-        *[(F.sum(f"__s_{n}") / 10_000).cast("double").alias(n) for n in sums]).drop("__session"))
+        *[total(f"__s_{n}").alias(n) for n in sums]).drop("__session"))

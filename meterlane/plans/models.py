@@ -9,6 +9,15 @@ from meterlane.functions import keys, labels, times
 from meterlane.operators import cleaning, joins, reports, unions
 
 
+# The marts' eight amounts and two averages: column of the mart -> column of the trips.
+MART_SUMS = {
+    "revenue_monthly_fare": "fare", "revenue_monthly_extra": "extra", "revenue_monthly_tax": "tax",
+    "revenue_monthly_tip_amount": "tip", "revenue_monthly_tolls_amount": "tolls",
+    "revenue_monthly_ehail_fee": "ehail_fee", "revenue_monthly_improvement_surcharge": "surcharge",
+    "revenue_monthly_total_amount": "total"}
+MART_AVERAGES = {"avg_monthly_passenger_count": "passenger_count", "avg_monthly_trip_distance": "distance"}
+
+
 def trips_unioned(green: DataFrame, yellow: DataFrame) -> DataFrame:
     """Both services under one schema; yellow lacks two of green's columns."""
     return unions.aligned(
@@ -40,11 +49,7 @@ def fact_trips(enriched: DataFrame, zones: DataFrame) -> DataFrame:
 def monthly_zone_revenue(facts: DataFrame) -> DataFrame:
     return reports.monthly_zone_mart(
         facts, F.coalesce("pickup_zone", F.lit("Unknown Zone")), "pickup", "service_type",
-        sums={"revenue_monthly_fare": "fare", "revenue_monthly_tip_amount": "tip",
-              "revenue_monthly_tax": "tax", "revenue_monthly_ehail_fee": "ehail_fee",
-              "revenue_monthly_total_amount": "total"},
-        trip="trip_id",
-        averages={"avg_monthly_passenger_count": "passenger_count", "avg_monthly_trip_distance": "distance"})
+        sums=MART_SUMS, trip="trip_id", averages=MART_AVERAGES)
 
 
 def payment_types(spark) -> DataFrame:

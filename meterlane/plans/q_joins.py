@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlane.functions import labels
-from meterlane.functions.numbers import total
+from meterlane.functions.numbers import rounded, total
 from meterlane.functions.times import truncated
 from meterlane.operators import joins
 from meterlane.plans import sqltext
@@ -74,8 +74,8 @@ def green_yellow_outer(data: Data):
     green = zone_months(data.green("pickup", "pickup_id", "total").filter(since), "green")
     yellow = zone_months(data.yellow("pickup", "pickup_id", "total").filter(since), "yellow")
     both = joins.outer_on_keys(green, yellow, ["month", "pickup_id"])
-    return (joins.lookup(both, data.zones(), F.col("pickup_id") == F.col("location_id"), "inner")
-            .drop("location_id", "pickup_id"))
+    named = joins.lookup(both, data.zones(), F.col("pickup_id") == F.col("location_id"), "inner")
+    return rounded(named.drop("location_id", "pickup_id"), 4, "green_amount", "yellow_amount")
 
 
 @query("join_right", f"""{BOTH} SELECT order_key, {LABELS_SQL} FROM trips t
@@ -171,7 +171,7 @@ def busiest_last_17h(data: Data):
 
 
 @query("join_strategy_hints", f"""WITH s AS (SELECT s_nationkey, count(*) AS trips,
- {sqltext.total('l_extendedprice')} AS revenue FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1)
+ {sqltext.total('l_extendedprice', 2)} AS revenue FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1)
  SELECT h.hint, s.* FROM s CROSS JOIN (VALUES ('broadcast'), ('merge'), ('shuffle_hash')) h(hint)""")
 def join_strategy_hints(data: Data):
     lines = data.table("lineitem").select("l_suppkey", "l_extendedprice")
@@ -183,7 +183,7 @@ def join_strategy_hints(data: Data):
         joined = lines.join(hinted, F.col("l_suppkey") == F.col("s_suppkey"))
         results.append(joined.groupBy(F.lit(hint).alias("hint"), "s_nationkey").agg(
             F.count("*").alias("trips"), total("l_extendedprice").alias("revenue")))
-    return reduce(DataFrame.unionByName, results)
+    return rounded(reduce(DataFrame.unionByName, results), 2, "revenue")
 
 
 @query("interval_join", """SELECT l.event_id AS left_id, r.event_id AS right_id, l.user_id, l.ts AS dropoff_at,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterlane.functions.numbers import mean
+from meterlane.functions.numbers import half_up, mean
 from meterlane.operators import regression, similarity
 from meterlane.plans import sqltext
 from meterlane.plans.catalog import query
@@ -12,19 +12,20 @@ from meterlane.plans.sqltext import TRIPS
 from meterlane.plans.stand_ins import Data
 from meterlane.session import materialize
 
-NUMERIC = ["passenger_count", "distance", "fare"]
-CATEGORICAL = ["pickup_id", "payment_type"]
+NUMERIC = ["passenger_count", "distance", "fare", "tolls"]
+CATEGORICAL = ["pickup_id", "dropoff_id", "payment_type"]
 
 
 def features(data: Data):
+    """All trips with a fare; an unknown zone is a category of its own."""
     trips = data.trips(*NUMERIC, *CATEGORICAL, "tip", "order_key")
-    return regression.feature_table(trips.filter("pickup_id IS NOT NULL"), [*NUMERIC, "order_key"], CATEGORICAL, "tip",
-                                    nonzero="fare")
+    return regression.feature_table(trips, [*NUMERIC, "order_key"], CATEGORICAL, "tip", nonzero="fare")
 
 
 FEATURES = f"""{TRIPS}, f AS (SELECT CAST(passenger_count AS DOUBLE) AS passenger_count, distance,
- CAST(fare AS DOUBLE) AS fare, CAST(order_key AS DOUBLE) AS order_key, CAST(pickup_id AS VARCHAR) AS pickup_id,
- payment_type, CAST(tip AS DOUBLE) AS label FROM trips WHERE pickup_id IS NOT NULL AND tip IS NOT NULL AND fare <> 0)"""
+ CAST(fare AS DOUBLE) AS fare, CAST(tolls AS DOUBLE) AS tolls, CAST(order_key AS DOUBLE) AS order_key,
+ CAST(pickup_id AS VARCHAR) AS pickup_id, CAST(dropoff_id AS VARCHAR) AS dropoff_id,
+ payment_type, CAST(tip AS DOUBLE) AS label FROM trips WHERE tip IS NOT NULL AND fare <> 0)"""
 
 
 @query("ml_feature_table", f"{FEATURES} SELECT * FROM f")
@@ -49,7 +50,7 @@ def ml_train_summary(data: Data):
 def info_sql(column: str, numeric: bool) -> str:
     if numeric:
         return f"""SELECT '{column}' AS input, CAST(min({column}) AS DOUBLE) AS min, CAST(max({column}) AS DOUBLE) AS max,
- round({sqltext.mean(column)}, 6) AS mean, round(stddev_samp({column}), 4) AS stddev, NULL::BIGINT AS category_count,
+ round(AVG({column}), 6) AS mean, round(stddev_samp({column}), 4) AS stddev, NULL::BIGINT AS category_count,
  count(*) FILTER ({column} IS NULL) AS null_count, round(quantile_cont({column}, 0.5), 6) AS median FROM f"""
     return f"""SELECT '{column}', NULL, NULL, NULL, NULL, count(DISTINCT {column}),
  count(*) FILTER ({column} IS NULL), NULL FROM f"""
@@ -100,28 +101,28 @@ SHARES = """SELECT *, unnest([{'r': -abs(s1), 'feature': 'fare', 'a': s1}, {'r':
  {'r': -abs(s3), 'feature': 'passenger_count', 'a': s3}]) AS s"""
 
 
-@query("ml_explain_topk", f"""{FEATURES}, m AS (SELECT round({sqltext.mean('fare')}, 4) AS mf,
- round({sqltext.mean('distance')}, 4) AS md, round({sqltext.mean('passenger_count')}, 4) AS mp FROM f),
+@query("ml_explain_topk", f"""{FEATURES}, m AS (SELECT {sqltext.mean('fare')} AS mf,
+ {sqltext.mean('distance')} AS md, {sqltext.mean('passenger_count')} AS mp FROM f),
  w AS (SELECT order_key, passenger_count, distance, fare, row_number() OVER () AS rid,
  0.05::DOUBLE * (fare - mf) AS s1, 1.5::DOUBLE * (distance - md) AS s2, -2.0::DOUBLE * (passenger_count - mp) AS s3 FROM f, m),
  u AS ({SHARES} FROM w), r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY s.r, s.feature) AS place FROM u)
- SELECT order_key, fare, CAST(place - 1 AS INTEGER) AS place, s.feature AS feature, round(s.a, 4) AS attribution
+ SELECT order_key, fare, CAST(place - 1 AS INTEGER) AS place, s.feature AS feature, {sqltext.half_up('s.a', 4)} AS attribution
  FROM r WHERE place <= 2""")
 def ml_explain_topk(data: Data):
     rows = materialize(features(data), "features")
-    centre = rows.agg(*[F.round(mean(c), 4).alias(c) for c in WEIGHTS]).first().asDict()
+    centre = rows.agg(*[half_up(mean(c), 4).alias(c) for c in WEIGHTS]).first().asDict()
     strongest = rows.withColumn("top", regression.attributions(WEIGHTS, centre, 2))
     return strongest.select("order_key", "fare", F.posexplode("top").alias("place", "share")).select(
-        "order_key", "fare", "place", "share.feature", F.round("share.attribution", 4).alias("attribution"))
+        "order_key", "fare", "place", "share.feature", half_up(F.col("share.attribution"), 4).alias("attribution"))
 
 
 @query("ml_hparam_search")
 def ml_hparam_search(data: Data):
     rows = materialize(features(data), "features")
     found = regression.search(rows, NUMERIC, CATEGORICAL)
-    trials = [(i, reg, mix, float(rmse)) for i, ((reg, mix), rmse) in
+    trials = [(i, l1, l2, float(rmse)) for i, ((l1, l2), rmse) in
               enumerate(zip(regression.SEARCH_POINTS, found.validationMetrics))]
-    return data.spark.createDataFrame(trials, "trial int, reg_param double, elastic_net double, rmse double")
+    return data.spark.createDataFrame(trials, "trial int, l1 double, l2 double, rmse double")
 
 
 @query("vector_topk", """WITH q AS (SELECT label AS query_id, pos, avg(v) AS c FROM (SELECT label,

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterlane.functions import keys, labels, times
-from meterlane.functions.numbers import half_up, mean, retotal, total, units
+from meterlane.functions.numbers import half_up, mean, rounded, total
 from meterlane.functions.times import truncated
 from meterlane.operators import joins, reports, unions
 from meterlane.plans import models, sqltext
@@ -15,13 +15,19 @@ from meterlane.plans.sqltext import BOTH, TRIPS
 from meterlane.plans.stand_ins import IS_YELLOW_SQL, Data
 from meterlane.session import materialize
 
-MODEL_COLUMNS = ("order_key", "vendor_code", "pickup", "dropoff", "pickup_id", "dropoff_id",
-                 "passenger_count", "distance", "fare", "tip", "tax", "total", "payment_code")
+MODEL_COLUMNS = ("order_key", "vendor_code", "pickup", "dropoff", "pickup_id", "dropoff_id", "passenger_count",
+                 "distance", "fare", "extra", "tip", "tax", "tolls", "surcharge", "total", "payment_code")
 
 
-def facts(data: Data):
-    """All layers below the mart, composed into one plan."""
-    unioned = models.trips_unioned(data.green(*MODEL_COLUMNS), data.yellow(*MODEL_COLUMNS))
+def facts(data: Data, start: str | None = None, end: str | None = None):
+    """All layers below the mart, composed into one plan; of a range of pick-up times, if one is given.
+
+    The pick-up time is part of the trip's key, so a range never parts copies of a trip.
+    """
+    services = [data.green(*MODEL_COLUMNS), data.yellow(*MODEL_COLUMNS)]
+    if start:
+        services = [service.filter(times.within("pickup", start, end)) for service in services]
+    unioned = models.trips_unioned(*services)
     return models.fact_trips(models.trips_enriched(unioned, models.payment_types(data.spark)), data.zones())
 
 
@@ -36,18 +42,17 @@ FACTS = f"""{BOTH}, unioned AS (SELECT *, CASE WHEN {IS_YELLOW_SQL} THEN 'Yellow
  zdo.borough AS dropoff_borough, date_diff('minute', pickup, dropoff) AS trip_duration_minutes
  FROM (SELECT * FROM deduped WHERE rn = 1) d
  LEFT JOIN zones zpu ON pickup_id = zpu.location_id LEFT JOIN zones zdo ON dropoff_id = zdo.location_id)"""
+MART_SUMS_SQL = ", ".join(f"{sqltext.total(column)} AS {name}" for name, column in models.MART_SUMS.items())
 MART = f"""{FACTS}, mart AS (SELECT coalesce(pickup_zone, 'Unknown Zone') AS zone,
  CAST(date_trunc('month', pickup) AS TIMESTAMP) AS revenue_month, service AS service_type,
- {sqltext.total('fare')} AS revenue_monthly_fare, {sqltext.total('tip')} AS revenue_monthly_tip_amount,
- {sqltext.total('tax')} AS revenue_monthly_tax, {sqltext.total('ehail_fee')} AS revenue_monthly_ehail_fee,
- {sqltext.total('total')} AS revenue_monthly_total_amount, count(trip_id) AS total_monthly_trips,
+ {MART_SUMS_SQL}, count(trip_id) AS total_monthly_trips,
  {sqltext.mean('passenger_count')} AS avg_monthly_passenger_count,
  {sqltext.mean('distance')} AS avg_monthly_trip_distance FROM facts GROUP BY 1, 2, 3)"""
 
 
 @query("monthly_zone_revenue", f"{MART} SELECT * FROM mart")
 def monthly_zone_revenue(data: Data):
-    return models.monthly_zone_revenue(facts(data))
+    return rounded(models.monthly_zone_revenue(facts(data)), 4, *models.MART_SUMS, *models.MART_AVERAGES)
 
 
 @query("fact_trips", f"""{FACTS} SELECT trip_id, vendor_code, service AS service_type, pickup_zone, dropoff_zone,
@@ -63,33 +68,32 @@ def fact_trips(data: Data):
 
 
 @query("monthly_zone_revenue_by_id", f"""{TRIPS} SELECT pickup_id AS zone, CAST(date_trunc('month', pickup) AS TIMESTAMP)
- AS revenue_month, service_type, {sqltext.total('fare')} AS revenue_monthly_fare,
- {sqltext.total('total')} AS revenue_monthly_total_amount, count(order_key) AS total_monthly_trips,
+ AS revenue_month, service_type, {MART_SUMS_SQL.replace('(ehail_fee)', '(tax)')}, count(order_key) AS total_monthly_trips,
+ {sqltext.mean('passenger_count')} AS avg_monthly_passenger_count,
  {sqltext.mean('distance')} AS avg_monthly_trip_distance FROM trips GROUP BY 1, 2, 3""")
 def monthly_zone_revenue_by_id(data: Data):
-    trips = data.trips("order_key", "pickup_id", "pickup", "service_type", "fare", "total", "distance")
-    return reports.monthly_zone_mart(
-        trips, F.col("pickup_id"), "pickup", "service_type",
-        {"revenue_monthly_fare": "fare", "revenue_monthly_total_amount": "total"}, "order_key",
-        {"avg_monthly_trip_distance": "distance"})
+    # Grouped by the id instead of the name; the hailing fee of the stand-in is its tax.
+    sums = {**models.MART_SUMS, "revenue_monthly_ehail_fee": "tax"}
+    trips = data.trips("order_key", "pickup_id", "pickup", "service_type", *dict.fromkeys(sums.values()),
+                       *models.MART_AVERAGES.values())
+    mart = reports.monthly_zone_mart(trips, F.col("pickup_id"), "pickup", "service_type", sums, "order_key",
+                                     models.MART_AVERAGES)
+    return rounded(mart, 4, *sums, *models.MART_AVERAGES)
 
 
-@query("best_zone_year", f"""{MART} SELECT zone, sum(CAST(revenue_monthly_total_amount AS DECIMAL(18,4)))::DOUBLE AS revenue
+@query("best_zone_year", f"""{MART} SELECT zone, {sqltext.total('revenue_monthly_total_amount')} AS revenue
  FROM mart WHERE service_type = 'Green' AND year(revenue_month) = 1997 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""")
 def best_zone_year(data: Data):
-    mart = monthly_zone_revenue(data).filter(
-        (F.col("service_type") == "Green") & times.within("revenue_month", "1997-01-01", "1998-01-01"))
-    zones = mart.groupBy("zone").agg(retotal("revenue_monthly_total_amount").alias("revenue"))
+    year = models.monthly_zone_revenue(facts(data, "1997-01-01", "1998-01-01")).filter("service_type = 'Green'")
+    zones = year.groupBy("zone").agg(half_up(total("revenue_monthly_total_amount"), 4).alias("revenue"))
     return reports.top(zones, [F.desc("revenue"), F.col("zone")], 1)
 
 
 @query("month_trip_total", f"""{MART} SELECT CAST(sum(total_monthly_trips) AS BIGINT) AS trips FROM mart
  WHERE service_type = 'Green' AND revenue_month = '1997-10-01'""")
 def month_trip_total(data: Data):
-    mart = monthly_zone_revenue(data)
-    october = F.lit("1997-10-01").cast("timestamp_ntz")
-    return mart.filter((F.col("service_type") == "Green") & (F.col("revenue_month") == october)).agg(
-        F.sum("total_monthly_trips").alias("trips"))
+    october = models.monthly_zone_revenue(facts(data, "1997-10-01", "1997-11-01"))
+    return october.filter("service_type = 'Green'").agg(F.sum("total_monthly_trips").alias("trips"))
 
 
 @query("count_rows", "SELECT count(*) AS n FROM lineitem")
@@ -129,18 +133,19 @@ def day_zone_maxima(data: Data):
 
 
 @query("monthly_revenue", f"""SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS month, count(*) AS trips,
- {sqltext.total('l_extendedprice')} AS revenue, {sqltext.half_up(sqltext.mean('l_extendedprice'))} AS avg_amount,
- {sqltext.half_up(sqltext.mean('l_quantity'))} AS avg_distance FROM lineitem GROUP BY 1""")
+ {sqltext.total('l_extendedprice', 2)} AS revenue, {sqltext.mean('l_extendedprice', 2)} AS avg_amount,
+ {sqltext.mean('l_quantity', 2)} AS avg_distance FROM lineitem GROUP BY 1""")
 def monthly_revenue(data: Data):
-    return reports.monthly_revenue(data.table("lineitem"), "l_shipdate", "l_extendedprice", "l_quantity")
+    monthly = reports.monthly_revenue(data.table("lineitem"), "l_shipdate", "l_extendedprice", "l_quantity")
+    return rounded(monthly, 2, "revenue")
 
 
 @query("monthly_revenue_ym", f"""SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
- count(*) AS trips, {sqltext.total('l_extendedprice')} AS revenue,
- {sqltext.half_up(sqltext.mean('l_extendedprice'))} AS avg_amount FROM lineitem GROUP BY 1, 2 ORDER BY 1, 2""")
+ count(*) AS trips, {sqltext.total('l_extendedprice', 2)} AS revenue,
+ {sqltext.mean('l_extendedprice', 2)} AS avg_amount FROM lineitem GROUP BY 1, 2 ORDER BY 1, 2""")
 def monthly_revenue_ym(data: Data):
     return data.table("lineitem").groupBy(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")).agg(
-        F.count("*").alias("trips"), total("l_extendedprice").alias("revenue"),
+        F.count("*").alias("trips"), half_up(total("l_extendedprice")).alias("revenue"),
         half_up(mean("l_extendedprice")).alias("avg_amount")).orderBy("year", "month")
 
 
@@ -160,16 +165,16 @@ def top_pairs(data: Data):
 
 @query("revenue_by_payment", f"""SELECT l_linenumber AS payment_type, CASE l_linenumber WHEN 1 THEN 'Credit card'
  WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute' WHEN 6 THEN 'Voided trip' ELSE 'Unknown' END
- AS payment_method, count(*) AS trips, {sqltext.total('l_extendedprice')} AS total_revenue FROM lineitem GROUP BY 1""")
+ AS payment_method, count(*) AS trips, {sqltext.total('l_extendedprice', 2)} AS total_revenue FROM lineitem GROUP BY 1""")
 def revenue_by_payment(data: Data):
     grouped = data.table("lineitem").groupBy(F.col("l_linenumber").alias("payment_type")).agg(
-        F.count("*").alias("trips"), total("l_extendedprice").alias("total_revenue"))
+        F.count("*").alias("trips"), half_up(total("l_extendedprice")).alias("total_revenue"))
     return grouped.withColumn("payment_method", labels.labelled(
         "payment_type", labels.PAYMENT_LABELS, labels.PAYMENT_DEFAULT))
 
 
-HOUR_ZONE = """SELECT date_trunc('hour', ts) AS hour, user_id AS zone,
- CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS amount, count(*) AS number_records
+HOUR_ZONE = f"""SELECT date_trunc('hour', ts) AS hour, user_id AS zone,
+ {sqltext.total('value')} AS amount, count(*) AS number_records
  FROM events WHERE ts >= '2024-01-05' GROUP BY 1, 2"""
 
 
@@ -177,20 +182,19 @@ HOUR_ZONE = """SELECT date_trunc('hour', ts) AS hour, user_id AS zone,
 def hour_zone_revenue(data: Data):
     since = data.events().filter(F.col("ts") >= F.lit("2024-01-05").cast("timestamp_ntz"))
     return since.groupBy(truncated("hour", "ts").alias("hour"), F.col("user_id").alias("zone")).agg(
-        total("value").alias("amount"), F.count("*").alias("number_records"))
+        half_up(total("value"), 4).alias("amount"), F.count("*").alias("number_records"))
 
 
 @query("rdd_revenue", HOUR_ZONE)
 def rdd_revenue(data: Data):
     # The same report as a map and a key-wise reduce, kept to show the equivalence.
     since = data.events().filter(F.col("ts") >= F.lit("2024-01-05").cast("timestamp_ntz"))
-    keyed = since.select(truncated("hour", "ts").alias("hour"), "user_id", units("value").alias("units")).rdd.map(
-        lambda r: ((r["hour"], r["user_id"]), (r["units"], 1)))
+    keyed = since.select(truncated("hour", "ts").alias("hour"), "user_id", "value").rdd.map(
+        lambda r: ((r["hour"], r["user_id"]), (r["value"], 1)))
     reduced = keyed.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1]))
     rows = reduced.map(lambda kv: (kv[0][0], kv[0][1], kv[1][0], kv[1][1]))
-    frame = data.spark.createDataFrame(rows, "hour timestamp_ntz, zone long, units long, number_records long")
-    amount = (F.col("units").cast("decimal(28,4)") / 10_000).cast("double")
-    return frame.select("hour", "zone", amount.alias("amount"), "number_records")
+    frame = data.spark.createDataFrame(rows, "hour timestamp_ntz, zone long, amount double, number_records long")
+    return rounded(frame, 4, "amount")
 
 
 @query("vendor_tip_pct", f"""{TRIPS} SELECT CAST(year(pickup) AS INTEGER) AS year, CAST(month(pickup) AS INTEGER) AS month,
@@ -198,8 +202,8 @@ def rdd_revenue(data: Data):
  round(avg(CAST(tip AS DOUBLE) / nullif(CAST(fare AS DOUBLE), 0) * 100), 6) AS avg_tip_pct FROM trips GROUP BY 1, 2, 3""")
 def vendor_tip_pct(data: Data):
     trips = data.trips("pickup", "vendor_id", "tip", "fare", "total")
-    return reports.tip_percent(trips, [F.year("pickup").alias("year"), F.month("pickup").alias("month"),
-                                       F.col("vendor_id")], "tip", "fare", "total")
+    keys = [F.year("pickup").alias("year"), F.month("pickup").alias("month"), F.col("vendor_id")]
+    return rounded(reports.tip_percent(trips, keys, "tip", "fare", "total"), 4, "revenue")
 
 
 @query("longest_trip_day", """SELECT CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS day, max(l_extendedprice) AS largest
@@ -280,7 +284,7 @@ def popular_destination(data: Data):
  JOIN zones zdo ON dropoff_id = zdo.location_id GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5""")
 def expensive_routes(data: Data):
     pairs = data.trips("pickup_id", "dropoff_id", "total").groupBy("pickup_id", "dropoff_id").agg(
-        mean("total").alias("avg_total"), F.count("*").alias("trips"))
+        half_up(mean("total"), 4).alias("avg_total"), F.count("*").alias("trips"))
     named = joins.with_roles(pairs, data.zones().select("location_id", "zone"), "location_id",
                              {"pickup": "pickup_id", "dropoff": "dropoff_id"}, "inner")
     rows = named.select("pickup_zone", "dropoff_zone", "avg_total", "trips")
@@ -293,6 +297,7 @@ def expensive_routes(data: Data):
 def zones_over_threshold(data: Data):
     day = data.trips("pickup_id", "pickup", "total").filter(times.within("pickup", "1996-06-01", "1996-07-01"))
     sums = day.groupBy("pickup_id").agg(total("total").alias("revenue")).filter("revenue > 13000")
+    sums = rounded(sums, 4, "revenue")
     named = joins.lookup(sums, data.zones(), F.col("pickup_id") == F.col("location_id"), "inner")
     return named.select("zone", "revenue").orderBy(F.desc("revenue"), "zone")
 
@@ -322,14 +327,15 @@ def sign_composition(data: Data):
 
 
 PROFILE_SQL = " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, round({sqltext.mean(c)}, 6) AS mean, round(stddev_samp({c}), 4) AS stddev,
- CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, {sqltext.total(c)} AS sum FROM lineitem"""
+    f"""SELECT '{c}' AS column_name, round(AVG({c}), 6) AS mean, round(stddev_samp({c}), 4) AS stddev,
+ CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, {sqltext.total(c, 2)} AS sum FROM lineitem"""
     for c in ("l_quantity", "l_extendedprice", "l_linenumber"))
 
 
 @query("numeric_profile", PROFILE_SQL)
 def numeric_profile(data: Data):
-    return reports.numeric_profile(data.table("lineitem"), ["l_quantity", "l_extendedprice", "l_linenumber"])
+    profile = reports.numeric_profile(data.table("lineitem"), ["l_quantity", "l_extendedprice", "l_linenumber"])
+    return rounded(profile, 2, "sum")
 
 
 @query("data_window", "SELECT min(ts) AS first_at, max(ts) AS last_at FROM events")
@@ -337,9 +343,9 @@ def data_window(data: Data):
     return data.events().agg(F.min("ts").alias("first_at"), F.max("ts").alias("last_at"))
 
 
-@query("total_tips", f"SELECT {sqltext.total('l_extendedprice * l_discount')} AS tips FROM lineitem")
+@query("total_tips", f"SELECT {sqltext.total('l_extendedprice * l_discount', 2)} AS tips FROM lineitem")
 def total_tips(data: Data):
-    return data.trips("tip").agg(total("tip").alias("tips"))
+    return data.trips("tip").agg(half_up(total("tip"), 2).alias("tips"))
 
 
 @query("avg_minutes", f"{TRIPS} SELECT CAST(sum(date_diff('minute', pickup, dropoff)) AS DOUBLE) / count(*) AS avg_minutes FROM trips")
@@ -384,33 +390,33 @@ def demand_heatmap(data: Data):
 
 
 @query("month_over_month", f"""WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month,
- {sqltext.total('o_totalprice')} AS revenue FROM orders GROUP BY 1)
+ {sqltext.total('o_totalprice', 2)} AS revenue FROM orders GROUP BY 1)
  SELECT month, revenue, lag(revenue) OVER (ORDER BY month) AS previous,
  round((revenue - lag(revenue) OVER (ORDER BY month)) / lag(revenue) OVER (ORDER BY month) * 100, 6) AS change_pct FROM m""")
 def month_over_month(data: Data):
     monthly = data.table("orders").groupBy(truncated("month", "o_orderdate").alias("month")).agg(
         total("o_totalprice").alias("revenue"))
-    return reports.month_over_month(monthly, "month", "revenue")
+    return rounded(reports.month_over_month(monthly, "month", "revenue"), 2, "revenue", "previous")
 
 
-@query("vendor_compare", f"""SELECT l_linestatus AS vendor_id, count(*) AS trips, {sqltext.total('l_extendedprice')} AS revenue,
+@query("vendor_compare", f"""SELECT l_linestatus AS vendor_id, count(*) AS trips, {sqltext.total('l_extendedprice', 2)} AS revenue,
  {sqltext.mean('l_quantity')} AS avg_distance, {sqltext.mean('l_extendedprice')} AS avg_fare FROM lineitem GROUP BY 1""")
 def vendor_compare(data: Data):
     return data.table("lineitem").groupBy(F.col("l_linestatus").alias("vendor_id")).agg(
-        F.count("*").alias("trips"), total("l_extendedprice").alias("revenue"),
-        mean("l_quantity").alias("avg_distance"), mean("l_extendedprice").alias("avg_fare"))
+        F.count("*").alias("trips"), half_up(total("l_extendedprice")).alias("revenue"),
+        half_up(mean("l_quantity"), 4).alias("avg_distance"), half_up(mean("l_extendedprice"), 4).alias("avg_fare"))
 
 
 @query("daily_payment_report", f"""SELECT CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS trip_date,
  l_linestatus AS taxi_type, l_returnflag AS payment_type, count(*) AS trip_count,
- {sqltext.total('l_extendedprice')} AS total_fare, {sqltext.mean('l_extendedprice')} AS avg_fare
+ {sqltext.total('l_extendedprice', 2)} AS total_fare, {sqltext.mean('l_extendedprice')} AS avg_fare
  FROM lineitem WHERE l_shipdate >= '1996-01-01' AND l_shipdate < '1997-01-01' GROUP BY 1, 2, 3""")
 def daily_payment_report(data: Data):
     lines = data.table("lineitem").filter(times.within("l_shipdate", "1996-01-01", "1997-01-01"))
     return lines.groupBy(truncated("day", "l_shipdate").alias("trip_date"), F.col("l_linestatus").alias("taxi_type"),
                          F.col("l_returnflag").alias("payment_type")).agg(
-        F.count("*").alias("trip_count"), total("l_extendedprice").alias("total_fare"),
-        mean("l_extendedprice").alias("avg_fare"))
+        F.count("*").alias("trip_count"), half_up(total("l_extendedprice")).alias("total_fare"),
+        half_up(mean("l_extendedprice"), 4).alias("avg_fare"))
 
 
 @query("exploded_value_counts", """WITH w AS (SELECT unnest(string_split(p_name, ' ')) AS author FROM part)

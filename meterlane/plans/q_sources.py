@@ -86,7 +86,7 @@ def scan_union_by_name(data: Data):
     return files.parquet_by_name(data.spark, *paths)
 
 
-@query("json_scan_avg", f"""SELECT p_brand, {sqltext.half_up(sqltext.mean('p_retailprice'))} AS avg_price FROM part GROUP BY 1""")
+@query("json_scan_avg", f"""SELECT p_brand, {sqltext.mean('p_retailprice', 2)} AS avg_price FROM part GROUP BY 1""")
 def json_scan_avg(data: Data):
     path = new_path(data.spark, "json")
     data.table("part").select("p_brand", "p_retailprice").write.json(path)

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlane.functions import times
+from meterlane.functions.numbers import half_up, rounded, total
 from meterlane.operators import reports, sessions
+from meterlane.plans import sqltext
 from meterlane.plans.catalog import query
 from meterlane.plans.q_joins import interval_sides
-from meterlane.plans.sqltext import half_up
 from meterlane.plans.stand_ins import ZONES_SQL, Data
 from meterlane.session import new_path
 from meterlane.streaming import aggregates, decode, joins, run, sources, state
@@ -72,8 +73,8 @@ def stream_count_by_key(data: Data):
     return run.upsert(aggregates.counts_by_key(stream(data), "user_id"), "count-by-key", ["user_id"])
 
 
-TUMBLE = """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
- AS window_end, user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS amount
+TUMBLE = f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
+ AS window_end, user_id, count(*) AS n, {sqltext.total('value')} AS amount
  FROM events GROUP BY 1, 2, 3"""
 
 
@@ -83,21 +84,21 @@ def hourly(frame: DataFrame) -> DataFrame:
 
 @query("stream_tumble", TUMBLE)
 def stream_tumble(data: Data):
-    return run.upsert(hourly(stream(data)), "tumble", WINDOW_KEY)
+    return rounded(run.upsert(hourly(stream(data)), "tumble", WINDOW_KEY), 4, "amount")
 
 
 @query("tumble_batch", TUMBLE)
 def tumble_batch(data: Data):
-    return hourly(data.events())
+    return rounded(hourly(data.events()), 4, "amount")
 
 
 @query("window_rollup", f"""SELECT window_start, count(*) AS locations, CAST(sum(n) AS BIGINT) AS trips,
- CAST(sum(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS revenue FROM ({TUMBLE}) GROUP BY 1""")
+ {sqltext.total('amount')} AS revenue FROM ({TUMBLE}) GROUP BY 1""")
 def window_rollup(data: Data):
     windows = run.upsert(hourly(stream(data)), "rollup", WINDOW_KEY)
     return windows.groupBy("window_start").agg(
         F.count("*").alias("locations"), F.sum("n").alias("trips"),
-        F.sum(F.col("amount").cast("decimal(18,4)")).cast("double").alias("revenue"))
+        half_up(total("amount"), 4).alias("revenue"))
 
 
 @query("stream_proc_time_window", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
@@ -152,20 +153,20 @@ def longest_session(data: Data):
     return reports.top(found, [F.desc("n_events"), F.asc("session_start"), F.asc("user_id")], 1)
 
 
-HOURLY_TOTAL = """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE)
+HOURLY_TOTAL = f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, {sqltext.total('value')}
  AS amount, count(*) AS n FROM events GROUP BY 1"""
 
 
 @query("stream_hourly_total", HOURLY_TOTAL)
 def stream_hourly_total(data: Data):
     windows = aggregates.windowed(stream(data), "ts", "1 hour", amount="value", late="5 seconds")
-    return run.upsert(windows, "hourly-total", ["window_start"]).drop("window_end")
+    return rounded(run.upsert(windows, "hourly-total", ["window_start"]).drop("window_end"), 4, "amount")
 
 
 @query("best_hour", f"SELECT * FROM ({HOURLY_TOTAL}) ORDER BY amount DESC, window_start LIMIT 1")
 def best_hour(data: Data):
     windows = aggregates.windowed(data.events(), "ts", "1 hour", amount="value").drop("window_end")
-    return reports.top(windows, [F.desc("amount"), F.asc("window_start")], 1)
+    return reports.top(rounded(windows, 4, "amount"), [F.desc("amount"), F.asc("window_start")], 1)
 
 
 @query("stream_interval_join", """SELECT l.event_id AS left_id, r.event_id AS right_id, l.user_id, l.ts AS dropoff_at,
@@ -250,15 +251,15 @@ def late_event_policy(data: Data):
         aggregates.windowed(source, "ts", "1 hour", late="12 hours"), "late", path, checkpoint))
 
 
-@query("stream_upsert_windows", """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, user_id, count(*) AS n,
- CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS amount FROM events GROUP BY 1, 2""")
+@query("stream_upsert_windows", f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, user_id, count(*) AS n,
+ {sqltext.total('value')} AS amount FROM events GROUP BY 1, 2""")
 def stream_upsert_windows(data: Data):
     # The same deliveries under a watermark wide enough for all of them: late rows correct their window.
     path = new_path(data.spark, "corrected")
     latest = deliver(data, feeds(data), lambda source, checkpoint: run.upsert(
         aggregates.windowed(source, "ts", "1 hour", ["user_id"], "value", late="60 days"), "corrected",
         ["window_start", "user_id"], path, checkpoint))
-    return latest.drop("window_end")
+    return rounded(latest.drop("window_end"), 4, "amount")
 
 
 @query("stream_window_grace", """SELECT strftime(time_bucket(INTERVAL 10 SECONDS, ts), '%Y-%m-%d %H:%M:%S') || '@' || user_id
@@ -279,18 +280,19 @@ def stream_window_retention(data: Data):
 
 def totals_sql(key: str) -> str:
     keyed, group = (f"{key}, ", f"GROUP BY {key}") if key else ("", "")
-    return f"""SELECT {keyed}count(*) AS trips, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
- CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS avg_amount FROM events {group}"""
+    return f"""SELECT {keyed}count(*) AS trips, {sqltext.total('value')} AS revenue,
+ {sqltext.half_up('sum(value) / count(*)', 4)} AS avg_amount FROM events {group}"""
 
 
 @query("dashboard_totals", totals_sql(""))
 def dashboard_totals(data: Data):
-    return run.complete(aggregates.running_totals(stream(data), [], "value"), "totals")
+    return rounded(run.complete(aggregates.running_totals(stream(data), [], "value"), "totals"), 4, "revenue", "avg_amount")
 
 
 @query("dashboard_vendor", totals_sql("event_type"))
 def dashboard_vendor(data: Data):
-    return run.complete(aggregates.running_totals(stream(data), ["event_type"], "value"), "vendors")
+    totals = run.complete(aggregates.running_totals(stream(data), ["event_type"], "value"), "vendors")
+    return rounded(totals, 4, "revenue", "avg_amount")
 
 
 @query("dashboard_top_zones", "SELECT user_id, count(*) AS trips FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5")
@@ -299,11 +301,10 @@ def dashboard_top_zones(data: Data):
     return run.complete(counted.orderBy(F.desc("trips"), "user_id").limit(5), "top-zones")
 
 
-@query("stream_foreach_batch", f"SELECT event_id, event_type, {half_up('value')} AS rounded FROM events WHERE event_type <> 'error'")
+@query("stream_foreach_batch", f"SELECT event_id, event_type, {sqltext.half_up('value')} AS rounded FROM events WHERE event_type <> 'error'")
 def stream_foreach_batch(data: Data):
     def peek(batch: DataFrame) -> DataFrame:
-        rounded = F.round(F.col("value").cast("decimal(28,8)"), 2).cast("double")
-        return batch.filter("event_type <> 'error'").select("event_id", "event_type", rounded.alias("rounded"))
+        return batch.filter("event_type <> 'error'").select("event_id", "event_type", half_up(F.col("value")).alias("rounded"))
 
     return run.each_batch(stream(data), "each-batch", peek)
 
@@ -350,8 +351,8 @@ def stream_validate_records(data: Data):
     return stored.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"), F.sum(good_id).alias("id_sum"))
 
 
-@query("stream_keyed_state", """SELECT user_id AS key, count(*) AS trips, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS amount
+@query("stream_keyed_state", f"""SELECT user_id AS key, count(*) AS trips, {sqltext.total('value')} AS amount
  FROM events GROUP BY 1""")
 def stream_keyed_state(data: Data):
     totals = run.upsert(state.keyed_totals(stream(data), "user_id", "event_id", "value"), "keyed-state", ["key", "salt"])
-    return state.folded(totals)
+    return rounded(state.folded(totals), 4, "amount")

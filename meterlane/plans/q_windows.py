@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterlane.functions import labels, times
-from meterlane.functions.numbers import units
+from meterlane.functions.numbers import half_up, rounded
 from meterlane.operators import cleaning, joins, ordered, reports
 from meterlane.plans import sqltext
 from meterlane.plans.catalog import query
@@ -55,26 +55,21 @@ def lag_lead(data: Data):
     return framed.drop("ts")
 
 
-@query("running_sum", f"""SELECT event_id, event_type, CAST(sum(CAST(value AS DECIMAL(18,4)))
- OVER ({IN_TIME} ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM events""")
+@query("running_sum", f"""SELECT event_id, event_type,
+ {sqltext.half_up(f'sum(value) OVER ({IN_TIME} ROWS UNBOUNDED PRECEDING)', 4)} AS running FROM events""")
 def running_sum(data: Data):
     events = data.events().select("event_id", "event_type", "ts", "value")
-    summed = ordered.running_sum(events, ["event_type"], in_time(), units("value").cast("decimal(18,0)"), "running")
-    return summed.select("event_id", "event_type", (F.col("running") / 10_000).cast("double").alias("running"))
+    summed = ordered.running_sum(events, ["event_type"], in_time(), F.col("value"), "running")
+    return summed.select("event_id", "event_type", half_up(F.col("running"), 4).alias("running"))
 
 
-@query("moving_avg", f"""SELECT event_id, event_type, CAST(sum(CAST(value AS DECIMAL(18,4)))
- OVER ({IN_TIME} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE)
- / count(value) OVER ({IN_TIME} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving FROM events""")
+@query("moving_avg", f"""SELECT event_id, event_type,
+ {sqltext.half_up(f'avg(value) OVER ({IN_TIME} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)', 4)} AS moving FROM events""")
 def moving_avg(data: Data):
     events = data.events().select("event_id", "event_type", "ts", "value")
-
-    def average(window):
-        last = window.rowsBetween(-2, 0)
-        return (F.sum(units("value")).over(last) / 10_000) / F.count("value").over(last)
-
-    framed = ordered.framed(events, ["event_type"], in_time(), {"moving": average}, before=2)
-    return framed.select("event_id", "event_type", "moving")
+    framed = ordered.framed(events, ["event_type"], in_time(),
+                            {"moving": lambda w: F.avg("value").over(w.rowsBetween(-2, 0))}, before=2)
+    return framed.select("event_id", "event_type", half_up(F.col("moving"), 4).alias("moving"))
 
 
 @query("p90_per_zone", f"""{TRIPS} SELECT order_key, pickup_id, total,
@@ -108,7 +103,7 @@ def dedup_first(data: Data):
 
 
 QUARTERS = f"""WITH q AS (SELECT o_orderstatus AS service_type, CAST(year(o_orderdate) AS INTEGER) AS year,
- CAST(quarter(o_orderdate) AS INTEGER) AS quarter, {sqltext.total('o_totalprice')} AS revenue
+ CAST(quarter(o_orderdate) AS INTEGER) AS quarter, {sqltext.total('o_totalprice', 2)} AS revenue
  FROM orders GROUP BY 1, 2, 3),
  g AS (SELECT a.*, b.revenue AS previous, round((a.revenue - b.revenue) / b.revenue * 100, 6) AS yoy_pct
  FROM q a LEFT JOIN q b ON a.service_type = b.service_type AND a.quarter = b.quarter AND a.year = b.year + 1)"""
@@ -116,7 +111,8 @@ QUARTERS = f"""WITH q AS (SELECT o_orderstatus AS service_type, CAST(year(o_orde
 
 @query("quarterly_yoy", f"{QUARTERS} SELECT * FROM g")
 def quarterly_yoy(data: Data):
-    return reports.quarterly_growth(data.table("orders"), "o_orderdate", "o_orderstatus", "o_totalprice")
+    growth = reports.quarterly_growth(data.table("orders"), "o_orderdate", "o_orderstatus", "o_totalprice")
+    return rounded(growth, 2, "revenue", "previous")
 
 
 @query("quarterly_extremes", f"""{QUARTERS} SELECT service_type, arg_max(quarter, yoy_pct) AS best_quarter,

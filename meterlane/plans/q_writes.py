@@ -91,7 +91,7 @@ def partition_cluster_count(data: Data):
     return read.filter("user_id = 17").agg(F.count("*").alias("n"))
 
 
-@query("bucketed_join", f"""SELECT o_orderstatus, count(*) AS n, {sqltext.total('l_extendedprice')} AS revenue
+@query("bucketed_join", f"""SELECT o_orderstatus, count(*) AS n, {sqltext.total('l_extendedprice', 2)} AS revenue
  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def bucketed_join(data: Data):
     # Both tables are stored in buckets of the join key, so the join itself moves nothing.
@@ -102,8 +102,8 @@ def bucketed_join(data: Data):
         tables.create_bucketed(frame, name, new_path(data.spark, "bucketed"), key, buckets)
     joined = data.spark.table(lines).join(data.spark.table(orders).hint("merge"),
                                           F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.groupBy("o_orderstatus").agg(F.count("*").alias("n"),
-                                               numbers.total("l_extendedprice").alias("revenue"))
+    grouped = joined.groupBy("o_orderstatus").agg(F.count("*").alias("n"), numbers.total("l_extendedprice").alias("revenue"))
+    return numbers.rounded(grouped, 2, "revenue")
 
 
 @query("create_if_absent", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")

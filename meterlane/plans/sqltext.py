@@ -6,16 +6,16 @@ TRIPS = f"WITH {TRIPS_SQL}"
 BOTH = f"WITH {TRIPS_SQL}, {ZONES_SQL}"
 
 
-def total(expr: str) -> str:
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,4))) AS DOUBLE)"
+def total(expr: str, digits: int = 4) -> str:
+    return half_up(f"SUM({expr})", digits)
 
 
-def mean(expr: str) -> str:
-    return f"{total(expr)} / COUNT({expr})"
+def mean(expr: str, digits: int = 4) -> str:
+    return half_up(f"AVG({expr})", digits)
 
 
-def half_up(expr: str) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(28,8)), 2) AS DOUBLE)"
+def half_up(expr: str, digits: int = 2) -> str:
+    return f"CAST(ROUND(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
 
 
 def number(expr: str) -> str:

@@ -20,6 +20,9 @@ LINE = {
     "fare": lambda: F.col("l_extendedprice"),
     "tip": lambda: F.col("l_extendedprice") * F.col("l_discount"),
     "tax": lambda: F.col("l_tax"),
+    "extra": lambda: F.col("l_discount"),
+    "tolls": lambda: F.col("l_extendedprice") * F.col("l_tax"),
+    "surcharge": lambda: F.col("l_quantity") * F.col("l_discount"),
     "total": lambda: F.col("l_extendedprice") + F.col("l_extendedprice") * F.col("l_discount"),
     "payment_type": lambda: F.col("l_returnflag"),
     "payment_code": lambda: F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2),
@@ -39,6 +42,7 @@ TRIPS_SQL = """trips AS (
          nullif(l_linenumber % 5, 0) AS vendor_code, l_shipdate AS dropoff,
          l_linenumber AS passenger_count, l_quantity AS distance,
          l_extendedprice AS fare, l_extendedprice * l_discount AS tip, l_tax AS tax,
+         l_discount AS extra, l_extendedprice * l_tax AS tolls, l_quantity * l_discount AS surcharge,
          l_extendedprice + l_extendedprice * l_discount AS total,
          l_returnflag AS payment_type,
          CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 END AS payment_code,

@@ -11,15 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from meterlane.functions.numbers import units
+from meterlane.functions.numbers import total
 from meterlane.streaming.aggregates import watermarked
 
 # Workers get the classes below with the job and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A key's rows are spread over this many state entries, so that no task owns a hot key.
-SALTS = 4
-
 
 def deduplicated(df: DataFrame, ids: list[str], time: str, late: str) -> DataFrame:
     """First arrival of each id; copies are recognised within the watermark delay."""
@@ -28,34 +25,39 @@ def deduplicated(df: DataFrame, ids: list[str], time: str, late: str) -> DataFra
 
 
 class RunningTotals(StatefulProcessor):
-    """Rows and amount (in ten-thousandths) seen so far of each (key, salt)."""
+    """Rows and amount seen so far of each (key, salt); null amounts add nothing."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._seen = handle.getValueState("seen", "trips long, units long")
+        self._seen = handle.getValueState("seen", "trips long, amount double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        trips, units = self._seen.get() if self._seen.exists() else (0, 0)
+        trips, amount = self._seen.get() if self._seen.exists() else (0, 0.0)
         for batch in rows:
             trips += len(batch)
-            units += int(batch["units"].sum())
-        self._seen.update((trips, units))
-        yield pd.DataFrame({"key": [key[0]], "salt": [key[1]], "trips": [trips], "units": [units]})
+            amount += float(batch["amount"].sum())
+        self._seen.update((trips, amount))
+        yield pd.DataFrame({"key": [key[0]], "salt": [key[1]], "trips": [trips], "amount": [amount]})
 
     def close(self) -> None:
         pass
 
 
-def keyed_totals(df: DataFrame, key: str, spread_by: str, amount: str) -> DataFrame:
-    """Running totals of every (key, salt), emitted after each micro-batch."""
+def keyed_totals(df: DataFrame, key: str, spread_by: str, amount: str, salts: int | None = None) -> DataFrame:
+    """Running totals of every (key, salt), emitted after each micro-batch.
+
+    A key's rows are spread over ``salts`` state entries, so that no task owns a hot key;
+    by default as many as the session shuffles into, hence as many as it has state partitions.
+    A stream that goes on from a checkpoint may change the number: ``folded`` adds up all entries.
+    """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = df.select(F.col(key).cast("long").alias("key"),
-                       F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int").alias("salt"),
-                       units(amount).alias("units"))
+                       F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int").alias("salt"),
+                       F.col(amount).cast("double").alias("amount"))
     return salted.groupBy("key", "salt").transformWithStateInPandas(
-        statefulProcessor=RunningTotals(), outputStructType="key long, salt int, trips long, units long",
+        statefulProcessor=RunningTotals(), outputStructType="key long, salt int, trips long, amount double",
         outputMode="Update", timeMode="None")
 
 
 def folded(totals: DataFrame) -> DataFrame:
     """Latest totals of all salts of a key added up."""
-    summed = (F.sum("units").cast("decimal(28,4)") / 10_000).cast("double")
-    return totals.groupBy("key").agg(F.sum("trips").alias("trips"), summed.alias("amount"))
+    return totals.groupBy("key").agg(F.sum("trips").alias("trips"), total("amount").alias("amount"))

@@ -60,6 +60,16 @@ def test_total_of_huge_tables_does_not_overflow(spark):
     assert doubled.agg(numbers.total("v")).first()[0] == 9e17
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(18,6)"])
+def test_small_amounts_are_added_before_anything_is_rounded(spark, kind):
+    rows = spark.range(1000).select(F.lit(0.000004).cast(kind).alias("v"))
+    assert rows.agg(numbers.total("v"), numbers.mean("v")).first() == pytest.approx((0.004, 0.000004))
+    ten = spark.range(10).select(F.lit(0.00004).cast(kind).alias("v")).agg(numbers.total("v").alias("t"))
+    assert numbers.rounded(ten, 4, "t").first()["t"] == 0.0004
+    nothing = spark.createDataFrame([(None,)], f"v {kind}").agg(numbers.total("v"), numbers.mean("v"))
+    assert tuple(nothing.first()) == (None, None)
+
+
 def test_row_hash_counts_null_as_empty(spark):
     got = one(spark, keys.row_hash(F.lit("a"), F.lit(None).cast("int"), F.lit(7)))[0]
     assert got == hashlib.md5(b"a7").hexdigest()

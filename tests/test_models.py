@@ -13,13 +13,14 @@ from meterlane.sinks import tables
 from meterlane.sources.paged import PagedSource
 
 TRIP = """order_key long, vendor_code int, pickup timestamp_ntz, dropoff timestamp_ntz, pickup_id int, dropoff_id int,
-          passenger_count int, distance double, fare double, tip double, tax double, total double, payment_code int"""
+          passenger_count int, distance double, fare double, tip double, tax double, total double, payment_code int,
+          extra double, tolls double, surcharge double"""
 
 
 def trip(spark, *rows):
     from datetime import datetime
 
-    full = [(key, 1, datetime(2024, 1, 5, 8), datetime(2024, 1, 5, 8, minute), zone, None, 1, 2.0, 10.0, 1.0, 0.5, 11.0, pay)
+    full = [(key, 1, datetime(2024, 1, 5, 8), datetime(2024, 1, 5, 8, minute), zone, None, 1, 2.0, 10.0, 1.0, 0.5, 11.0, pay, 0.25, 6.5, 0.000004)
             for key, minute, zone, pay in rows]
     return spark.createDataFrame(full, TRIP)
 
@@ -35,6 +36,8 @@ def test_layers(spark):
     mart = models.monthly_zone_revenue(models.fact_trips(enriched, zones))
     got = {(r["zone"], r["service_type"]): (r["total_monthly_trips"], r["revenue_monthly_total_amount"]) for r in mart.collect()}
     assert got == {("North", "Green"): (1, 11.0), ("North", "Yellow"): (1, 11.0), ("Unknown Zone", "Yellow"): (1, 11.0)}
+    further = mart.select("revenue_monthly_extra", "revenue_monthly_tolls_amount", "revenue_monthly_improvement_surcharge")
+    assert set(map(tuple, further.collect())) == {(0.25, 6.5, 0.000004)}
 
 
 def test_union_fills_missing_columns(spark):
@@ -77,6 +80,23 @@ def test_model_queries_cover_the_whole_table(spark):
     assert want and keys("ml_predict") == want and keys("ml_explain_model") == sorted(3 * want)
 
 
+def test_attributions_are_per_input_and_add_up(line):
+    model = regression.train(line, ["x"], ["c"])
+    rows = regression.model_attributions(model, line, 9).select("x", "c", "prediction", "top_attributions").collect()
+    assert all(sorted(s["feature"] for s in r["top_attributions"]) == ["c", "x"] for r in rows)
+    # The shares explain the distance from one and the same base, and the order is by size.
+    bases = [r["prediction"] - sum(s["attribution"] for s in r["top_attributions"]) for r in rows]
+    assert max(bases) - min(bases) < 1e-6
+    assert all(abs(r["top_attributions"][0][1]) >= abs(r["top_attributions"][1][1]) for r in rows)
+
+
+def test_search_space():
+    points = regression.search_points(200)
+    assert points == regression.search_points(200) and {l2 for _, l2 in points} == set(regression.L2_CHOICES)
+    assert all(0 <= l1 <= 20 for l1, _ in points) and len(regression.SEARCH_POINTS) == 5
+    assert regression.penalty(0.0, 0.0) == (0.0, 0.0) and regression.penalty(3.0, 1.0) == (4.0, 0.75)
+
+
 def test_search_tries_every_point(line):
     found = regression.search(line, ["x"], ["c"])
     assert len(found.validationMetrics) == len(regression.SEARCH_POINTS)
