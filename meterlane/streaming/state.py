@@ -13,6 +13,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from meterlane.functions.numbers import total
 from meterlane.streaming.aggregates import watermarked
+from meterlane.streaming.run import STATE_PARTITIONS
 
 # Workers get the classes below with the job and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -46,10 +47,11 @@ def keyed_totals(df: DataFrame, key: str, spread_by: str, amount: str, salts: in
     """Running totals of every (key, salt), emitted after each micro-batch.
 
     A key's rows are spread over ``salts`` state entries, so that no task owns a hot key;
-    by default as many as the session shuffles into, hence as many as it has state partitions.
+    by default as many as a new stream gets state partitions.
     A stream that goes on from a checkpoint may change the number: ``folded`` adds up all entries.
     """
-    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    salts = salts or int(conf.get(STATE_PARTITIONS, None) or conf.get("spark.sql.shuffle.partitions"))
     salted = df.select(F.col(key).cast("long").alias("key"),
                        F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int").alias("salt"),
                        F.col(amount).cast("double").alias("amount"))

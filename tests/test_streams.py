@@ -109,6 +109,19 @@ def test_keyed_state_survives_a_restart(spark):
     assert {r["key"]: (r["trips"], r["amount"]) for r in state.folded(totals).collect()} == {1: (3, 3.75), 2: (1, 1.0)}
 
 
+def test_hot_key_is_spread_over_the_state_partitions(spark):
+    spark.conf.set(run.STATE_PARTITIONS, "6")
+    try:
+        topic = Topic(spark, "k long, id long, v double").send(*[(1, i, 0.000001) for i in range(200)], (2, 900, None))
+        totals = run.upsert(state.keyed_totals(topic.stream(), "k", "id", "v"), "spread", ["key", "salt"],
+                            topic.out, topic.checkpoint)
+        assert {r["salt"] for r in totals.filter("key = 1").collect()} == set(range(6))
+        folded = {r["key"]: (r["trips"], r["amount"]) for r in state.folded(totals).collect()}
+        assert folded == {1: (200, pytest.approx(0.0002)), 2: (1, 0.0)}
+    finally:
+        spark.conf.unset(run.STATE_PARTITIONS)
+
+
 def test_broken_records_are_kept_apart(spark):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
     topic = Topic(spark, "value string").send(('{"id": 1, "v": 2.5}',), ('{"id": "x", "v": 1}',), ('{"id": 3',))
