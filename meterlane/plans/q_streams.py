@@ -101,11 +101,19 @@ def window_rollup(data: Data):
         half_up(total("amount"), 4).alias("revenue"))
 
 
+@query("stream_proc_time_ranked")
+def stream_proc_time_ranked(data: Data):
+    # Three deliveries, each in the window of its own moment; the windows depend on the clock, so there is no SQL.
+    path = new_path(data.spark, "proc-time")
+    windows = deliver(data, feeds(data), lambda source, checkpoint: run.upsert(
+        aggregates.processing_time_windows(source, "5 minutes", ["user_id"]), "proc-time", WINDOW_KEY, path, checkpoint))
+    return aggregates.busiest_first(windows)
+
+
 @query("stream_proc_time_window", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
 def stream_proc_time_window(data: Data):
     # Which window a row falls into depends on the clock, the total per key does not.
-    windows = run.complete(aggregates.processing_time_windows(stream(data), "5 minutes", ["user_id"]), "proc-time")
-    return windows.groupBy("user_id").agg(F.sum("n").alias("n"))
+    return stream_proc_time_ranked(data).groupBy("user_id").agg(F.sum("n").alias("n"))
 
 
 HOP = """SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, user_id, count(*) AS n FROM (
@@ -142,8 +150,12 @@ def session_counts(data: Data):
 
 @query("stream_session", f"{sessions_sql(60)} SELECT * FROM g")
 def stream_session(data: Data):
-    windows = aggregates.session_windows(stream(data), "ts", "60 minutes", ["user_id"], late="5 seconds")
-    return run.complete(windows, "session")
+    # Two halves and the mark that ends the stream: sessions are emitted once, when they are closed.
+    events, path = data.events(), new_path(data.spark, "session")
+    first = F.col("ts") < F.lit(MIDDLE).cast("timestamp_ntz")
+    parts = [events.filter(first), events.filter(~first), aggregates.end_mark(events, "ts")]
+    return deliver(data, parts, lambda source, checkpoint: run.append(
+        aggregates.session_windows(source, "ts", "60 minutes", ["user_id"], late="5 seconds"), "session", path, checkpoint))
 
 
 @query("longest_session", f"""{sessions_sql(60)} SELECT user_id, session_start, n_events FROM g
@@ -255,27 +267,41 @@ def late_event_policy(data: Data):
  {sqltext.total('value')} AS amount FROM events GROUP BY 1, 2""")
 def stream_upsert_windows(data: Data):
     # The same deliveries under a watermark wide enough for all of them: late rows correct their window.
+    # The log of changes is folded into the base after every second micro-batch.
     path = new_path(data.spark, "corrected")
     latest = deliver(data, feeds(data), lambda source, checkpoint: run.upsert(
         aggregates.windowed(source, "ts", "1 hour", ["user_id"], "value", late="60 days"), "corrected",
-        ["window_start", "user_id"], path, checkpoint))
+        ["window_start", "user_id"], path, checkpoint, fold_every=2))
     return rounded(latest.drop("window_end"), 4, "amount")
 
 
-@query("stream_window_grace", """SELECT strftime(time_bucket(INTERVAL 10 SECONDS, ts), '%Y-%m-%d %H:%M:%S') || '@' || user_id
- AS windowed_key, count(*) AS n FROM events GROUP BY 1""")
+def kept_sql(size: str, late: str, keys: str) -> str:
+    """Counts per window without the purchases of the first half whose window was closed when they arrived."""
+    return f"""WITH b AS (SELECT *, time_bucket(INTERVAL {size}, ts) AS window_start, event_type = 'purchase'
+ AND ts < TIMESTAMP '{MIDDLE}' AS late FROM events), w AS (SELECT window_start, {keys}, count(*) AS n FROM b
+ WHERE NOT (late AND window_start + INTERVAL {size} <= (SELECT max(ts) - INTERVAL {late} FROM b
+ WHERE NOT late AND ts < TIMESTAMP '{MIDDLE}')) GROUP BY ALL)"""
+
+
+@query("stream_window_grace", f"""{kept_sql("10 SECONDS", "5 SECONDS", "user_id")}
+ SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') || '@' || user_id AS windowed_key, n FROM w""")
 def stream_window_grace(data: Data):
-    windows = aggregates.windowed(stream(data), "ts", "10 seconds", ["user_id"], late="5 seconds")
+    # A row may be five seconds late: purchases that arrive after that are left out, and windows leave the state.
+    path, parts = new_path(data.spark, "grace"), [*feeds(data), aggregates.end_mark(data.events(), "ts")]
+    windows = deliver(data, parts, lambda source, checkpoint: run.upsert(
+        aggregates.windowed(source, "ts", "10 seconds", ["user_id"], late="5 seconds"), "grace", WINDOW_KEY, path, checkpoint))
     key = F.concat(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"), F.lit("@"), F.col("user_id"))
-    return run.upsert(windows, "grace", WINDOW_KEY).select(key.alias("windowed_key"), "n")
+    return windows.select(key.alias("windowed_key"), "n")
 
 
-@query("stream_window_retention", """SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, event_type, count(*) AS n
- FROM events GROUP BY 1, 2""")
+@query("stream_window_retention", f"""{kept_sql("1 MINUTE", "1 HOUR", "event_type")} SELECT * FROM w""")
 def stream_window_retention(data: Data):
-    # Windows stay open for an hour of event time and are then removed from the state.
-    windows = aggregates.windowed(stream(data), "ts", "1 minute", ["event_type"], late="1 hour")
-    return run.upsert(windows, "retention", ["window_start", "event_type"]).drop("window_end")
+    # Windows are kept for an hour of event time and are then removed from the state; rows for a removed one count nowhere.
+    path, parts = new_path(data.spark, "retention"), [*feeds(data), aggregates.end_mark(data.events(), "ts")]
+    windows = deliver(data, parts, lambda source, checkpoint: run.upsert(
+        aggregates.windowed(source, "ts", "1 minute", ["event_type"], late="1 hour"), "retention",
+        ["window_start", "event_type"], path, checkpoint))
+    return windows.drop("window_end")
 
 
 def totals_sql(key: str) -> str:
@@ -301,6 +327,22 @@ def dashboard_top_zones(data: Data):
     return run.complete(counted.orderBy(F.desc("trips"), "user_id").limit(5), "top-zones")
 
 
+REPORT_EVERY = 1000
+
+
+@query("dashboard_every_n", f"""WITH d AS (SELECT value, row_number() OVER w AS messages,
+ sum(value) OVER (w ROWS UNBOUNDED PRECEDING) AS upto FROM events WINDOW w AS (ORDER BY CASE
+ WHEN ts >= TIMESTAMP '{MIDDLE}' THEN 3 WHEN event_type = 'purchase' THEN 2 ELSE 1 END, ts, event_id))
+ SELECT messages, {sqltext.half_up("upto", 4)} AS revenue, {sqltext.half_up("upto / messages", 4)} AS avg_amount
+ FROM d WHERE messages % {REPORT_EVERY} = 0""")
+def dashboard_every_n(data: Data):
+    # Three deliveries with a restart after each: the count goes on where the last run stopped.
+    path = new_path(data.spark, "every-n")
+    reports = deliver(data, feeds(data), lambda source, checkpoint: run.every_n(
+        source, "every-n", REPORT_EVERY, ["ts", "event_id"], "value", path, checkpoint))
+    return rounded(reports, 4, "revenue", "avg_amount")
+
+
 @query("stream_foreach_batch", f"SELECT event_id, event_type, {sqltext.half_up('value')} AS rounded FROM events WHERE event_type <> 'error'")
 def stream_foreach_batch(data: Data):
     def peek(batch: DataFrame) -> DataFrame:

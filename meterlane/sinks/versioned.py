@@ -78,7 +78,7 @@ def version(spark: SparkSession, path: str, number: int | None = None) -> Versio
     return Version(number, StructType.fromJson(told["schema"]), told["parts"])
 
 
-def _point(spark: SparkSession, path: str, new: Version) -> None:
+def point(spark: SparkSession, path: str, new: Version) -> None:
     """The last step of a load. The pointer is written beside its place and renamed, which fails if it is taken."""
     told = json.dumps({"schema": new.schema.jsonValue(), "parts": new.parts})
     jvm, fs, beside = _file_system(spark, f"{path}/versions/.{uuid.uuid4().hex}")
@@ -102,24 +102,24 @@ def _point(spark: SparkSession, path: str, new: Version) -> None:
 
 def read(spark: SparkSession, path: str, part: str = ROWS, number: int | None = None) -> DataFrame:
     """The rows of the newest or the given version; older files have null in columns that came later."""
-    return _frame(spark, path, _known(spark, path, number), part)
+    return frame(spark, path, known(spark, path, number), part)
 
 
-def _known(spark: SparkSession, path: str, number: int | None = None) -> Version:
+def known(spark: SparkSession, path: str, number: int | None = None) -> Version:
     found = version(spark, path, number)
     if found is None:
         raise FileNotFoundError(f"no table at {path}")
     return found
 
 
-def _frame(spark: SparkSession, path: str, at: Version, part: str) -> DataFrame:
+def frame(spark: SparkSession, path: str, at: Version, part: str) -> DataFrame:
     places = []
     for folder, names in at.parts.get(part, {}).items():
         places += [f"{path}/data/{folder}"] if names is None else [f"{path}/data/{folder}/{n}" for n in names]
     return spark.read.schema(at.schema).parquet(*places) if places else spark.createDataFrame([], at.schema)
 
 
-def _written(df: DataFrame, path: str) -> str:
+def written(df: DataFrame, path: str) -> str:
     """Write rows to a folder of their own, which no version names yet."""
     folder = uuid.uuid4().hex
     df.write.parquet(f"{path}/data/{folder}")
@@ -150,10 +150,10 @@ def _without(spark: SparkSession, path: str, folders: Mapping[str, list[str] | N
 
 
 def _only(spark: SparkSession, path: str, at: Version, files: Mapping[str, set[str]]) -> DataFrame:
-    return _frame(spark, path, at._replace(parts={ROWS: {f: sorted(n) for f, n in files.items()}}), ROWS)
+    return frame(spark, path, at._replace(parts={ROWS: {f: sorted(n) for f, n in files.items()}}), ROWS)
 
 
-def _wider(old: StructType, new: StructType) -> StructType:
+def wider(old: StructType, new: StructType) -> StructType:
     return StructType(old.fields + [f for f in new.fields if f.name not in old.names])
 
 
@@ -162,7 +162,7 @@ def _wider(old: StructType, new: StructType) -> StructType:
 def replace(df: DataFrame, path: str) -> DataFrame:
     """Make these rows the whole table."""
     spark, last = df.sparkSession, max(versions(df.sparkSession, path), default=0)
-    _point(spark, path, Version(last + 1, df.schema, {ROWS: {_written(df, path): None}}))
+    point(spark, path, Version(last + 1, df.schema, {ROWS: {written(df, path): None}}))
     return read(spark, path)
 
 
@@ -172,26 +172,28 @@ def append(df: DataFrame, path: str) -> DataFrame:
     at = version(spark, path)
     if at is None:
         return replace(df, path)
-    folders = {**at.parts[ROWS], _written(df, path): None}
-    _point(spark, path, Version(at.number + 1, _wider(at.schema, df.schema), {ROWS: folders}))
+    folders = {**at.parts[ROWS], written(df, path): None}
+    point(spark, path, Version(at.number + 1, wider(at.schema, df.schema), {ROWS: folders}))
     return read(spark, path)
 
 
 def insert_only(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Add the rows whose key the table does not have; keys repeated in ``df`` stay. Null keys match nothing."""
     at = version(df.sparkSession, path)
-    return append(df if at is None else missing_rows(_frame(df.sparkSession, path, at, ROWS), df, keys), path)
+    return append(df if at is None else missing_rows(frame(df.sparkSession, path, at, ROWS), df, keys), path)
 
 
-def merge(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[Column] = ()) -> DataFrame:
+def merge(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[Column] = (),
+          at: Version | None = None) -> DataFrame:
     """Replace the rows of equal key as a whole and insert the others; run again, it changes nothing.
 
     A key that ``df`` has several times counts once: its first row in the order ``newest``, or
     any one without an order. Rows with a null in the key match nothing, so each of them is inserted.
+    ``at`` is the version to start from, where ``df`` was read from that very version.
     """
     named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     once = first_per_key(df.filter(named), keys, newest) if newest else df.filter(named).dropDuplicates(list(keys))
-    return _rewritten(df, path, keys, once.unionByName(df.filter(~named)))
+    return _rewritten(df, path, keys, once.unionByName(df.filter(~named)), at)
 
 
 def delete_insert(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
@@ -199,15 +201,15 @@ def delete_insert(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     return _rewritten(df, path, keys, df)
 
 
-def _rewritten(df: DataFrame, path: str, keys: Sequence[str], added: DataFrame) -> DataFrame:
-    spark, at = df.sparkSession, version(df.sparkSession, path)
+def _rewritten(df: DataFrame, path: str, keys: Sequence[str], added: DataFrame, at: Version | None = None) -> DataFrame:
+    spark, at = df.sparkSession, at or version(df.sparkSession, path)
     if at is None:
         return replace(added, path)
     # Written to its place at once, and read from there.
-    new = _written(added, path)
+    new = written(added, path)
     added = spark.read.schema(added.schema).parquet(f"{path}/data/{new}")
     wanted = added.select(*keys).distinct()
-    old = _frame(spark, path, at, ROWS)
+    old = frame(spark, path, at, ROWS)
 
     def hits(rows: DataFrame) -> DataFrame:
         return rows.withColumn(_FILE, F.col("_metadata.file_path")).join(wanted, list(keys), "left_semi")
@@ -217,7 +219,7 @@ def _rewritten(df: DataFrame, path: str, keys: Sequence[str], added: DataFrame)
     near = [F.col(k).between(F.lit(ranges[2 * i]), F.lit(ranges[2 * i + 1])) for i, k in enumerate(keys) if ranges[2 * i] is not None]
     files = _touched(hits(old.filter(reduce(lambda a, b: a & b, near)))) if near else {}
     kept = missing_rows(added, _only(spark, path, at, files), keys) if files else None
-    return _commit(spark, path, at, files, kept, _wider(at.schema, df.schema), {new: None})
+    return _commit(spark, path, at, files, kept, wider(at.schema, df.schema), {new: None})
 
 
 def delete_where(spark: SparkSession, path: str, condition: Column) -> DataFrame:
@@ -234,15 +236,15 @@ def replace_where(df: DataFrame, path: str, condition: Column) -> DataFrame:
 
 
 def _replaced(spark: SparkSession, path: str, condition: Column, added: DataFrame | None) -> DataFrame:
-    at = _known(spark, path)
-    files = _touched(_frame(spark, path, at, ROWS).withColumn(_FILE, F.col("_metadata.file_path")).filter(condition)
+    at = known(spark, path)
+    files = _touched(frame(spark, path, at, ROWS).withColumn(_FILE, F.col("_metadata.file_path")).filter(condition)
                      if at.parts[ROWS] else spark.createDataFrame([], f"{_FILE} string"))
     if not files and added is None:
-        return _frame(spark, path, at, ROWS)
+        return frame(spark, path, at, ROWS)
     kept = _only(spark, path, at, files).filter(~F.coalesce(condition, F.lit(False)))
     if added is None:
         return _commit(spark, path, at, files, kept, at.schema)
-    return _commit(spark, path, at, files, stacked_loosely(kept, added), _wider(at.schema, added.schema))
+    return _commit(spark, path, at, files, stacked_loosely(kept, added), wider(at.schema, added.schema))
 
 
 def _commit(spark: SparkSession, path: str, at: Version, files: Mapping[str, set[str]], rows: DataFrame | None, schema: StructType,
@@ -250,8 +252,8 @@ def _commit(spark: SparkSession, path: str, at: Version, files: Mapping[str, set
     """The next version: without ``files``, with ``rows`` and what folders were written before."""
     folders = {**_without(spark, path, at.parts[ROWS], files), **more}
     if rows is not None:
-        folders[_written(rows, path)] = None
-    _point(spark, path, Version(at.number + 1, schema, {ROWS: folders}))
+        folders[written(rows, path)] = None
+    point(spark, path, Version(at.number + 1, schema, {ROWS: folders}))
     return read(spark, path)
 
 
@@ -293,7 +295,7 @@ def load_history(current: DataFrame, path: str, key: str, tracked: Sequence[str]
     schema = StructType([current.schema[key], *[current.schema[c] for c in tracked]]).add("valid_from", kind).add("valid_to", kind)
     schema = StructType([f.__class__(f.name, f.dataType, True) for f in schema.fields])
     before = version(spark, path) or Version(0, schema, {OPEN: {}, CLOSED: {}})
-    old = _frame(spark, path, before, OPEN)
+    old = frame(spark, path, before, OPEN)
     old = old.withColumn(_FILE, F.col("_metadata.file_path") if before.parts[OPEN] else F.lit(None).cast("string"))
     both = (old.select(F.struct(*schema.names).alias("old"), _FILE)
             .join(now, F.col(f"old.{key}").eqNullSafe(F.col(key)), "full"))
@@ -308,20 +310,20 @@ def load_history(current: DataFrame, path: str, key: str, tracked: Sequence[str]
     files = _touched(ended)
     if not files and opening.isEmpty():
         if before.number == 0:
-            _point(spark, path, before._replace(number=1))
+            point(spark, path, before._replace(number=1))
         return history(spark, path)
     ends = ended.select(F.col(f"old.{key}").alias("__key"))
     left = _only(spark, path, before, files)
     left = left.join(ends, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
-    parts = {OPEN: {**_without(spark, path, before.parts[OPEN], files), _written(left.unionByName(opening), path): None},
+    parts = {OPEN: {**_without(spark, path, before.parts[OPEN], files), written(left.unionByName(opening), path): None},
              CLOSED: dict(before.parts[CLOSED])}
     if files:
-        parts[CLOSED][_written(closing, path)] = None
-    _point(spark, path, Version(before.number + 1, before.schema, parts))
+        parts[CLOSED][written(closing, path)] = None
+    point(spark, path, Version(before.number + 1, before.schema, parts))
     return history(spark, path)
 
 
 def history(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
     """All versions, the open ones with a null ``valid_to``."""
-    at = _known(spark, path, number)
-    return _frame(spark, path, at, OPEN).unionByName(_frame(spark, path, at, CLOSED))
+    at = known(spark, path, number)
+    return frame(spark, path, at, OPEN).unionByName(frame(spark, path, at, CLOSED))

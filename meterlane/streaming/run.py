@@ -6,16 +6,19 @@ last run stopped.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from meterlane.operators.cleaning import first_per_key
-from meterlane.session import new_path
+from meterlane.operators import ordered
+from meterlane.session import materialize, new_path
+from meterlane.sinks import upserts
 
-BATCH = "batch_id"
+RUN, BATCH = "run_id", "batch_id"
 
 
 # Number of state partitions of new streams; without it, that of the session's shuffles.
@@ -75,48 +78,103 @@ def complete(stream: DataFrame, label: str, checkpoint: str | None = None) -> Da
 
 
 def upsert(stream: DataFrame, label: str, keys: Sequence[str], path: str | None = None,
-           checkpoint: str | None = None, mode: str = "update") -> DataFrame:
-    """Upsert sink: each micro-batch writes its changed rows, the newest row per key counts.
+           checkpoint: str | None = None, mode: str = "update", fold_every: int = 100) -> DataFrame:
+    """Upsert sink: each micro-batch adds its changed rows, the newest row per key counts.
 
-    A batch writes to a folder named after its number, so repeating it after a
-    failure changes nothing, and earlier results are never rewritten.
+    Repeating a batch after a failure changes nothing; see ``sinks.upserts``. Every ``fold_every`` batches
+    the log of changes is folded into the base.
     """
     spark = stream.sparkSession
     path, checkpoint = path or new_path(spark, label), checkpoint or new_path(spark, f"{label}-state")
-    _finish(stream, stream.writeStream.outputMode(mode).foreachBatch(
-        lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")),
-        checkpoint)
-    return newest(spark.read.parquet(path), keys)
+    upserts.prepare(spark, path, stream.schema)
 
+    def write(batch: DataFrame, number: int) -> None:
+        upserts.add(batch, path)
+        if (number + 1) % fold_every == 0:
+            upserts.fold(batch.sparkSession, path, keys)
+
+    _finish(stream, stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint)
+    return upserts.read(spark, path, keys)
+
+
+def _declared(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table of batch folders, readable before the first batch."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{RUN}=0/{BATCH}=-1")
+    return spark.read.schema(schema).parquet(path).drop(RUN, BATCH)
 
-def newest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Last written row of each key of an upsert sink."""
-    return first_per_key(log, keys, [F.col(BATCH).desc()]).drop(BATCH)
 
+def _place(path: str, checkpoint: str, number: int) -> str:
+    """Where a batch writes: repeated, it writes to the same place, and another checkpoint to another one."""
+    return f"{path}/{RUN}={zlib.crc32(checkpoint.encode())}/{BATCH}={number}"
 
-def branch(stream: DataFrame, label: str, routes: Mapping[str, Column]) -> dict[str, DataFrame]:
+
+def branch(stream: DataFrame, label: str, routes: Mapping[str, Column], path: str | None = None,
+           checkpoint: str | None = None) -> dict[str, DataFrame]:
     """One pass over the stream, one table per predicate."""
     spark = stream.sparkSession
-    paths = {name: new_path(spark, f"{label}-{name}") for name in routes}
+    path, checkpoint = path or new_path(spark, label), checkpoint or new_path(spark, f"{label}-state")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
         for name, condition in routes.items():
-            batch.filter(condition).write.mode("overwrite").parquet(f"{paths[name]}/{BATCH}={number}")
+            batch.filter(condition).write.mode("overwrite").parquet(_place(f"{path}/{name}", checkpoint, number))
         batch.unpersist()
 
-    _finish(stream, stream.writeStream.foreachBatch(write), new_path(spark, f"{label}-state"))
-    return {name: spark.read.parquet(path).drop(BATCH) for name, path in paths.items()}
+    for name in routes:
+        _declared(spark, f"{path}/{name}", stream.schema)
+    _finish(stream, stream.writeStream.foreachBatch(write), checkpoint)
+    return {name: _declared(spark, f"{path}/{name}", stream.schema) for name in routes}
 
 
-def each_batch(stream: DataFrame, label: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Apply a batch function to every micro-batch and collect the results in a table."""
+def each_batch(stream: DataFrame, label: str, work: Callable[[DataFrame], DataFrame], path: str | None = None,
+               checkpoint: str | None = None) -> DataFrame:
+    """Apply a batch function to every micro-batch and gather the results in a table."""
     spark = stream.sparkSession
-    path = new_path(spark, label)
+    path, checkpoint = path or new_path(spark, label), checkpoint or new_path(spark, f"{label}-state")
+    schema = work(spark.createDataFrame([], stream.schema)).schema
+    _declared(spark, path, schema)
     _finish(stream, stream.writeStream.foreachBatch(
-        lambda batch, number: work(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")),
-        new_path(spark, f"{label}-state"))
-    return spark.read.parquet(path).drop(BATCH)
+        lambda batch, number: work(batch).write.mode("overwrite").parquet(_place(path, checkpoint, number))), checkpoint)
+    return _declared(spark, path, schema)
+
+
+def every_n(stream: DataFrame, label: str, n: int, order: Sequence[str], amount: str, path: str | None = None,
+            checkpoint: str | None = None) -> DataFrame:
+    """A report of the totals so far after every ``n`` messages: messages, revenue and average amount.
+
+    Messages count in the order of the micro-batches, inside one in that of ``order`` (which should
+    end in a unique column). A batch is numbered by sorted slices and reduced to one row per report
+    before anything is added up, so no task holds a batch. Messages and amount up to the end of a batch are
+    written beside its reports, and the next batch, also after a restart, goes on from there; a
+    repeated batch starts from the same place again. Null amounts count as messages and add nothing.
+    """
+    spark = stream.sparkSession
+    path, checkpoint = path or new_path(spark, label), checkpoint or new_path(spark, f"{label}-state")
+    reports = spark.createDataFrame([], "messages long, revenue double, avg_amount double").schema
+    carried = f"{checkpoint.rstrip('/')}-carried"
+
+    def write(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        before = (0, 0.0) if number == 0 else tuple(session.read.schema("messages long, revenue double")
+                                                    .parquet(f"{carried}/{BATCH}={number - 1}").first())
+        numbered = ordered.row_number(batch.select(*order, F.col(amount).cast("double").alias("__amount")),
+                                      [F.col(c) for c in order], name="__row")
+        report = F.ceil((F.col("__row") + before[0]) / n).cast("long")
+        blocks = materialize(numbered.groupBy(report.alias("__report")).agg(
+            F.count(F.lit(1)).alias("__rows"), F.coalesce(F.sum("__amount"), F.lit(0.0)).alias("__sum")), label)
+        rows, amounts = blocks.agg(F.coalesce(F.sum("__rows"), F.lit(0)), F.coalesce(F.sum("__sum"), F.lit(0.0))).first()
+        after = (before[0] + rows, before[1] + amounts)
+        upto = ordered.running_sum(blocks, [], [F.col("__report")], F.col("__sum"), "__upto")
+        messages, revenue = F.col("__report") * n, F.col("__upto") + before[1]
+        full = upto.filter(messages <= after[0]).select(
+            messages.alias("messages"), revenue.alias("revenue"), (revenue / messages).alias("avg_amount"))
+        full.write.mode("overwrite").parquet(_place(path, checkpoint, number))
+        session.createDataFrame([after], "messages long, revenue double").coalesce(1).write.mode(
+            "overwrite").parquet(f"{carried}/{BATCH}={number}")
+
+    _declared(spark, path, reports)
+    _finish(stream, stream.writeStream.foreachBatch(write), checkpoint)
+    return _declared(spark, path, reports)
 
 
 def console(stream: DataFrame, mode: str = "complete", rows: int = 20, every: str = "5 seconds"):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlane.session import new_path
+from meterlane.sinks import upserts, versioned
 from meterlane.streaming import aggregates, decode, joins, run, sources, state
 
 
@@ -182,3 +183,164 @@ def test_complete_table_survives_a_restart_without_input(spark):
         counted = spark.readStream.schema("k string, v int").parquet(folder).groupBy("k").count()
         result = run.complete(counted, "restart", checkpoint=state_folder)
         assert {tuple(r) for r in result.collect()} == {("a", 2), ("b", 1)}
+
+
+def state_rows(spark, checkpoint):
+    return spark.read.format("statestore").load(checkpoint).count()
+
+
+def test_sessions_are_emitted_once_when_closed_and_leave_the_state(spark):
+    topic = Topic(spark, "k int, t timestamp_ntz")
+
+    def closed():
+        table = run.append(aggregates.session_windows(topic.stream(), "t", "5 minutes", ["k"], "10 minutes"), "s",
+                           topic.out, topic.checkpoint)
+        return sorted((r["k"], r["session_start"], r["n_events"]) for r in table.collect())
+
+    topic.send((1, at(0)), (1, at(4)), (2, at(12)))
+    assert closed() == [] and state_rows(spark, topic.checkpoint) == 2
+    # The late row joins an open session, the next one moves the watermark past it; a null time counts nowhere.
+    topic.send((1, at(8)), (None, None), (2, at(40)))
+    assert closed() == [(1, at(0), 3), (2, at(12), 1)]
+    # Later than the watermark: dropped.
+    topic.send((1, at(1)))
+    assert closed() == [(1, at(0), 3), (2, at(12), 1)]
+    aggregates.end_mark(spark.read.parquet(topic.folder), "t").write.mode("append").parquet(topic.folder)
+    assert closed() == [(1, at(0), 3), (2, at(12), 1), (2, at(40), 1)]
+    assert state_rows(spark, topic.checkpoint) == 0
+
+
+def test_session_of_a_hot_key_is_one_row_of_state(spark):
+    topic = Topic(spark, "k int, t timestamp_ntz").send(*[(1, at(i // 10, i % 10)) for i in range(1000)], (2, at(90)))
+    table = run.append(aggregates.session_windows(topic.stream(), "t", "5 minutes", ["k"], "1 hour"), "s",
+                       topic.out, topic.checkpoint)
+    assert table.count() == 0 and state_rows(spark, topic.checkpoint) == 2
+
+
+def test_windows_leave_the_state_after_their_retention(spark):
+    topic = Topic(spark, "k int, t timestamp_ntz")
+
+    def shown():
+        table = windows(topic, "20 minutes", lambda s: run.upsert(s, "w", ["window_start", "k"], topic.out, topic.checkpoint))
+        return sorted((r["window_start"], r["n"]) for r in table.collect())
+
+    topic.send((1, at(5)), (1, at(35)))
+    assert shown() == [(at(0), 1), (at(30), 1)]
+    # The watermark is at minute 15: the first window has left the state, its row stays in the table and late rows change nothing.
+    assert state_rows(spark, topic.checkpoint) == 1
+    topic.send((1, at(6)), (1, at(16)))
+    assert shown() == [(at(0), 1), (at(10), 1), (at(30), 1)]
+    aggregates.end_mark(spark.read.parquet(topic.folder), "t").write.mode("append").parquet(topic.folder)
+    assert len(shown()) == 3 and state_rows(spark, topic.checkpoint) == 0
+
+
+def counted(topic, checkpoint, **options):
+    table = run.upsert(aggregates.counts_by_key(topic.stream(), "k"), "n", ["k"], topic.out, checkpoint, **options)
+    return {r["k"]: r["n"] for r in table.collect()}
+
+
+def test_upsert_without_input_is_an_empty_table(spark):
+    topic = Topic(spark, "k string")
+    assert counted(topic, topic.checkpoint) == {}
+    topic.send(("a",), (None,))
+    assert counted(topic, topic.checkpoint) == {"a": 1, None: 1}
+
+
+def test_upsert_with_a_new_checkpoint_on_an_old_table_wins(spark):
+    topic = Topic(spark, "k string")
+    for _ in range(3):
+        topic.send(("a",))
+        counted(topic, topic.checkpoint)
+    # All is counted again in one batch, whose number is lower than those before.
+    topic.send(("a",), ("b",))
+    assert counted(topic, new_path(spark, "state")) == {"a": 4, "b": 1}
+
+
+def test_upsert_log_is_folded_while_the_stream_goes_on(spark):
+    topic, lengths = Topic(spark, "k string"), []
+    for n in range(1, 6):
+        topic.send(("a",), (f"k{n}",), (None,))
+        assert counted(topic, topic.checkpoint, fold_every=2) == {"a": n, None: n, **{f"k{i}": 1 for i in range(1, n + 1)}}
+        lengths.append(upserts.log_length(spark, topic.out))
+    assert lengths == [1, 0, 1, 0, 1]
+
+
+def test_a_batch_and_a_fold_that_meet_lose_nothing(spark, monkeypatch):
+    path, schema = new_path(spark, "meet"), "k string, n int"
+    upserts.prepare(spark, path, spark.createDataFrame([], schema).schema)
+    upserts.add(spark.createDataFrame([("a", 1)], schema), path)
+    point = versioned.point
+
+    def overtaken(session, place, new):
+        monkeypatch.setattr(versioned, "point", point)
+        if folding:
+            upserts.add(spark.createDataFrame([("a", 3)], schema), path)
+        else:
+            upserts.fold(spark, path, ["k"])
+        return point(session, place, new)
+
+    folding = False
+    monkeypatch.setattr(versioned, "point", overtaken)
+    upserts.add(spark.createDataFrame([("a", 2), ("b", 2)], schema), path)
+    assert {tuple(r) for r in upserts.read(spark, path, ["k"]).collect()} == {("a", 2), ("b", 2)}
+    folding = True
+    monkeypatch.setattr(versioned, "point", overtaken)
+    with pytest.raises(versioned.Conflict):
+        upserts.fold(spark, path, ["k"])
+    assert {tuple(r) for r in upserts.read(spark, path, ["k"]).collect()} == {("a", 3), ("b", 2)}
+
+
+def test_reports_every_n_messages_over_restarts(spark):
+    topic = Topic(spark, "id long, v double")
+    sent = [(i, None if i == 4 else i / 4) for i in range(1, 18)]
+    wanted = [(n, sum(v or 0 for _, v in sent[:n])) for n in (5, 10, 15)]
+    for end, reports in ((3, 0), (4, 0), (13, 2), (17, 3)):
+        begin = {3: 0, 4: 3, 13: 4, 17: 13}[end]
+        topic.send(*sent[begin:end])
+        for _ in range(2):  # the second run finds no new input
+            table = run.every_n(topic.stream(), "reports", 5, ["id"], "v", topic.out, topic.checkpoint)
+            got = sorted((r["messages"], r["revenue"]) for r in table.collect())
+            assert got == [(n, pytest.approx(total)) for n, total in wanted[:reports]]
+    assert all(r["avg_amount"] == pytest.approx(r["revenue"] / r["messages"]) for r in table.collect())
+
+
+def test_reports_of_an_empty_stream(spark):
+    topic = Topic(spark, "id long, v double")
+    assert run.every_n(topic.stream(), "reports", 5, ["id"], "v", topic.out, topic.checkpoint).count() == 0
+
+
+def test_branches_go_on_after_a_restart(spark):
+    topic = Topic(spark, "v int")
+    routes = {"high": F.col("v") >= 40, "low": F.col("v") < 40}
+
+    def routed():
+        tables = run.branch(topic.stream(), "b", routes, topic.out, topic.checkpoint)
+        return {name: sorted(r["v"] for r in table.collect()) for name, table in tables.items()}
+
+    assert routed() == {"high": [], "low": []}
+    topic.send((1,), (40,), (None,))
+    assert routed() == {"high": [40], "low": [1]}
+    topic.send((2,))
+    assert routed() == {"high": [40], "low": [1, 2]}
+
+
+def test_batch_function_goes_on_after_a_restart(spark):
+    topic = Topic(spark, "v int")
+
+    def doubled():
+        table = run.each_batch(topic.stream(), "each", lambda b: b.select((F.col("v") * 2).alias("twice")), topic.out, topic.checkpoint)
+        return sorted(r["twice"] for r in table.collect())
+
+    assert doubled() == []
+    for n in (1, 2):
+        topic.send((n,))
+        assert doubled() == [2 * i for i in range(1, n + 1)]
+
+
+def test_processing_time_windows_carry_ranks(spark):
+    topic = Topic(spark, "k int").send((1,), (1,), (2,), (3,), (3,), (4,))
+    stored = run.upsert(aggregates.processing_time_windows(topic.stream(), "5 minutes", ["k"]), "clock",
+                        ["window_start", "window_end", "k"])
+    ranked = aggregates.busiest_first(stored).collect()
+    assert sorted((r["rank"], r["k"], r["n"]) for r in ranked) == [(1, 1, 2), (1, 3, 2), (3, 2, 1), (3, 4, 1)]
+    assert all(r["window_end"] - r["window_start"] == dt.timedelta(minutes=5) for r in ranked)

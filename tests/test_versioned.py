@@ -105,7 +105,7 @@ def test_a_load_that_breaks_off_changes_nothing(spark, table, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as patched:
-        patched.setattr(versioned, "_point", broken)
+        patched.setattr(versioned, "point", broken)
         for load in (lambda: versioned.delete_where(spark, table, F.col("id") < 50),
                      lambda: versioned.merge(spark.range(3).select("id", F.lit("x").alias("v")), table, ["id"]),
                      lambda: versioned.load_newer(spark.range(300).select("id", F.lit("x").alias("v")), table, "id", ["id"])):
@@ -116,14 +116,14 @@ def test_a_load_that_breaks_off_changes_nothing(spark, table, monkeypatch):
 
 
 def test_of_two_loads_from_one_version_one_wins(spark, table, monkeypatch):
-    point = versioned._point
+    point = versioned.point
 
     def overtaken(spark, path, new):
-        monkeypatch.setattr(versioned, "_point", point)
+        monkeypatch.setattr(versioned, "point", point)
         versioned.append(spark.createDataFrame([(1000, "first")], "id long, v string"), path)
         return point(spark, path, new)
 
-    monkeypatch.setattr(versioned, "_point", overtaken)
+    monkeypatch.setattr(versioned, "point", overtaken)
     with pytest.raises(versioned.Conflict):
         versioned.delete_where(spark, table, F.col("id") >= 0)
     assert versioned.read(spark, table).count() == 101
