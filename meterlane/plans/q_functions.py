@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlane.functions import keys, nested, numbers, text, times
-from meterlane.operators import quality
+from meterlane.operators import evolution, quality
 from meterlane.plans.catalog import query
 from meterlane.plans.sqltext import TRIPS
 from meterlane.plans.stand_ins import Data
@@ -166,6 +169,56 @@ def schema_compat_read(data: Data):
     return data.spark.read.schema(newer).parquet(path)
 
 
+def ride_schema(*, vendor: T.DataType = T.StringType(), required: bool = False) -> T.StructType:
+    """What a newer reader wants: a renamed and a widened field inside a record, one with a default, and a new one."""
+    ride = T.StructType([
+        T.StructField("vendorId", vendor, True, {"aliases": ["vendor_id"]}),
+        T.StructField("passenger_count", T.LongType()),
+        T.StructField("currency", T.StringType(), False, {"default": "USD"})])
+    return T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ride", ride),
+                         T.StructField("stops", T.ArrayType(T.DoubleType())),
+                         T.StructField("pu_location_id", T.LongType(), not required)])
+
+
+def rides(data: Data) -> DataFrame:
+    """Rides as an older writer left them, one record each."""
+    ride = F.struct(F.col("event_type").alias("vendor_id"), F.col("user_id").cast("int").alias("passenger_count"))
+    written = data.events().select("event_id", F.when(F.col("value") > 10, ride).alias("ride"),
+                                   F.array(F.col("user_id").cast("int"), F.lit(None).cast("int")).alias("stops"))
+    path = new_path(data.spark, "rides")
+    written.write.parquet(path)
+    return data.spark.read.schema(written.schema).parquet(path)
+
+
+@query("schema_nested_read", """SELECT event_id, coalesce(value > 10, false) AS has_ride, CASE WHEN value > 10 THEN event_type END AS vendor_id,
+ CASE WHEN value > 10 THEN CAST(CAST(user_id AS INTEGER) AS BIGINT) END AS passenger_count,
+ CASE WHEN value > 10 THEN 'USD' END AS currency, CAST(user_id AS DOUBLE) AS first_stop, 2 AS n_stops,
+ CAST(NULL AS BIGINT) AS pu_location_id FROM events""")
+def schema_nested_read(data: Data):
+    read = evolution.read_as(rides(data), ride_schema())
+    return read.select("event_id", F.col("ride").isNotNull().alias("has_ride"), F.col("ride.vendorId").alias("vendor_id"),
+                       "ride.passenger_count", "ride.currency", F.col("stops")[0].alias("first_stop"),
+                       F.size("stops").alias("n_stops"), "pu_location_id")
+
+
+@query("schema_changes", """SELECT 'added field' AS change, '' AS problems, count(*) AS readable FROM events
+ UNION ALL SELECT 'changed type', 'ride.vendorId: string can''t be read as int', 0
+ UNION ALL SELECT 'required field', 'pu_location_id: not written and without a default', 0""")
+def schema_changes(data: Data):
+    # Each wanted schema against the same stored rows: the incompatible ones are refused before anything is read.
+    stored = rides(data)
+    wanted = {"added field": ride_schema(), "changed type": ride_schema(vendor=T.IntegerType()),
+              "required field": ride_schema(required=True)}
+
+    def verdict(name: str, schema: T.StructType) -> DataFrame:
+        found = evolution.problems(stored.schema, schema)
+        rows = stored.filter(F.lit(False)) if found else evolution.read_as(stored, schema)
+        return rows.agg(F.count(F.lit(1)).alias("readable")).select(
+            F.lit(name).alias("change"), F.lit("; ".join(found)).alias("problems"), "readable")
+
+    return reduce(DataFrame.unionByName, [verdict(*item) for item in wanted.items()])
+
+
 def _base_numbers(data: Data):
     code = F.concat(F.lit("B"), F.lpad(F.col("l_partkey").cast("string"), 5, "0"))
     return data.table("lineitem").select("l_orderkey", code.alias("dispatching_base_num"))

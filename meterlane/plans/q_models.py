@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlane.functions.numbers import half_up, mean
@@ -125,23 +126,34 @@ def ml_hparam_search(data: Data):
     return data.spark.createDataFrame(trials, "trial int, l1 double, l2 double, rmse double")
 
 
-@query("vector_topk", """WITH q AS (SELECT label AS query_id, pos, avg(v) AS c FROM (SELECT label,
- unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY 1, 2),
- e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS pos FROM embeddings),
- n AS (SELECT vec_id, sqrt(sum(v * v)) AS norm FROM e GROUP BY 1),
- qn AS (SELECT query_id, sqrt(sum(c * c)) AS norm FROM q GROUP BY 1),
- s AS (SELECT query_id, vec_id, round(sum(v * c) / (any_value(n.norm) * any_value(qn.norm)), 6) AS similarity
- FROM e JOIN q USING (pos) JOIN n USING (vec_id) JOIN qn USING (query_id) GROUP BY 1, 2)
- SELECT query_id, vec_id, similarity FROM s
- QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) <= 5""")
-def vector_topk(data: Data):
-    # One query per label: the mean of its vectors.
-    vectors = data.table("embeddings")
+# Similarities are ranked as they are and rounded in the result; equal vectors tie.
+TOPK = """WITH q AS (SELECT label AS query_id, list(c ORDER BY pos) AS centre FROM (SELECT label, pos, avg(v) AS c FROM
+ (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY 1, 2) GROUP BY 1),
+ s AS (SELECT query_id, vec_id, list_cosine_similarity(embedding::DOUBLE[], centre) AS similarity FROM embeddings, q)
+ SELECT query_id, vec_id, round(similarity, 6) AS similarity FROM s
+ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) <= 5"""
+
+
+def label_centres(vectors: DataFrame) -> DataFrame:
+    """One query per label: the mean of its vectors."""
     parts = vectors.select("label", F.posexplode("embedding").alias("pos", "v"))
     means = parts.groupBy("label", "pos").agg(F.avg(F.col("v").cast("double")).alias("c"))
     # One entry per dimension: the length of a vector bounds the list.
-    centres = means.groupBy(F.col("label").alias("query_id")).agg(
+    return means.groupBy(F.col("label").alias("query_id")).agg(
         F.sort_array(F.collect_list(F.struct("pos", "c")))["c"].alias("centre"))
-    return similarity.nearest(vectors, "vec_id", "embedding", centres, "query_id", "centre", 5)
 
 
+@query("vector_topk", TOPK)
+def vector_topk(data: Data):
+    vectors = data.table("embeddings")
+    found = similarity.nearest(vectors, "vec_id", "embedding", label_centres(vectors), "query_id", "centre", 5)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("vector_topk_lists", TOPK)
+def vector_topk_lists(data: Data):
+    # The same through inverted lists: only lists are read that may hold one of the five nearest.
+    vectors = data.table("embeddings")
+    lists = similarity.index(vectors, "vec_id", "embedding")
+    found = similarity.search(lists, label_centres(vectors), "query_id", "centre", 5)
+    return found.withColumn("similarity", F.round("similarity", 6))

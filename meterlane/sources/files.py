@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlane.session import new_path
 
+# Workers get the functions below with the job and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Text files keep milliseconds only unless writer and reader are told otherwise.
 EXACT_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -74,12 +79,65 @@ def rows_per_file(df: DataFrame) -> DataFrame:
             .groupBy("path", "filename", "bytes").agg(F.count(F.lit(1)).alias("n")).drop("path"))
 
 
-def partition_stats(df: DataFrame, by: str) -> DataFrame:
-    """Rows, files and bytes of each partition."""
-    files = df.groupBy(F.col(by), F.col("_metadata.file_path").alias("file"),
-                       F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("n"))
-    return files.groupBy(by).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("files"),
-                                 F.sum("bytes").alias("bytes"))
+def footers(df: DataFrame, column: str | None = None) -> DataFrame:
+    """One row per Parquet file of a frame from the files' footers alone: ``path``, ``n`` rows, ``bytes``, ``row_groups`` and, for
+    a whole-number ``column``, its ``least`` and ``greatest`` value (null where the writer left no statistics or all is null).
+
+    Tasks open the files; the driver holds their names, as it does for every scan. Empty files have a row too.
+    """
+    names = df.inputFiles()
+    spark = df.sparkSession
+    listed = spark.createDataFrame([(n,) for n in names], "path string").repartition(
+        max(1, min(len(names), 4 * spark.sparkContext.defaultParallelism)))
+
+    def opened(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = []
+            for name in batch["path"]:
+                store, place = pafs.FileSystem.from_uri(name)
+                size = store.get_file_info(place).size
+                with store.open_input_file(place) as file:
+                    told = pq.ParquetFile(file).metadata
+                ranges = [_range(told.row_group(i), column) for i in range(told.num_row_groups)]
+                known = all(r is not None for r in ranges)
+                values = [v for r in ranges for v in r or ()]
+                rows.append((name, told.num_rows, size, told.num_row_groups,
+                             min(values) if known and values else None, max(values) if known and values else None))
+            yield pd.DataFrame(rows, columns=["path", "n", "bytes", "row_groups", "least", "greatest"]).astype(
+                {"least": "Int64", "greatest": "Int64"})
+
+    return listed.mapInPandas(opened, "path string, n long, bytes long, row_groups int, least long, greatest long")
+
+
+def _range(group, column: str | None):
+    """Least and greatest value of a row group, nothing where all is null, None where that isn't known."""
+    for i in range(group.num_columns if column else 0):
+        chunk = group.column(i)
+        if chunk.path_in_schema == column:
+            stats = chunk.statistics
+            if stats is not None and stats.has_min_max:
+                return stats.min, stats.max
+            return () if stats is not None and stats.has_null_count and stats.null_count == chunk.num_values else None
+    return None
+
+
+def partition_stats(df: DataFrame, by: str, column: str | None = None) -> DataFrame:
+    """Rows, files and bytes of each partition, and the range of a whole-number column, from the footers alone.
+
+    ``by`` is a folder level ``by=value``; its values come as text, null for the default partition.
+    """
+    value = F.regexp_extract("path", f"/{by}=([^/]*)/", 1)
+    # Folder names are escaped by percent signs, and the path once more; a plus sign stands for itself.
+    for _ in range(2):
+        value = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    value = F.when(value != "__HIVE_DEFAULT_PARTITION__", value)
+    return footers(df, column).groupBy(value.alias(by)).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"),
+        F.min("least").alias("least"), F.max("greatest").alias("greatest"))
 
 
 def schema_listing(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import FOLDER
 from pyspark.sql import functions as F
 
 from meterlane.functions.times import within
-from meterlane.operators import regression, similarity, unions
+from meterlane.operators import regression, unions
 from meterlane.plans import catalog, models
 from meterlane.session import new_path
 from meterlane.sinks import tables
@@ -113,20 +113,6 @@ def test_evaluation_against_numpy(spark):
     assert got["explained_variance"] == pytest.approx(1 - (y - p).var() / y.var())
 
 
-@pytest.mark.parametrize("per_pass", [500, 4])
-def test_nearest_in_one_or_many_passes(spark, monkeypatch, per_pass):
-    monkeypatch.setattr(similarity, "QUERIES_PER_PASS", per_pass)
-    random = np.random.default_rng(2)
-    corpus, asked = random.normal(size=(60, 8)), random.normal(size=(9, 8))
-    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, v array<double>")
-              for m in (corpus, asked)]
-    queries = frames[1].toDF("q", "qv")
-    got = similarity.nearest(frames[0], "id", "v", queries, "q", "qv", 3)
-    cosine = (asked @ corpus.T) / np.outer(np.linalg.norm(asked, axis=1), np.linalg.norm(corpus, axis=1))
-    wanted = {(q, int(i)) for q in range(9) for i in np.argsort(-cosine[q])[:3]}
-    assert {(r["q"], r["id"]) for r in got.collect()} == wanted
-
-
 @pytest.mark.parametrize("pages, readers", [(0, 3), (1, 4), (7, 3)])
 def test_paged_source_reads_until_the_empty_page(spark, pages, readers):
     root = new_path(spark, "pages")
