@@ -102,19 +102,19 @@ def jsonl_scan(data: Data):
     return files.json_documents(data.spark, path, schema, **files.EXACT_TIMES)
 
 
-PAGE_ROWS, MOST_PAGES = 1000, 5000
+PAGE_ROWS = 1000
 
 
 @query("paged_source", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def paged_source(data: Data):
     orders = data.table("orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    # Pages of about 1,000 rows; larger ones once that would make too many files.
-    pages = min(orders.count() // PAGE_ROWS + 1, MOST_PAGES)
+    pages = orders.count() // PAGE_ROWS + 1
     path = new_path(data.spark, "pages")
     page = (F.pmod(F.xxhash64("o_orderkey"), F.lit(pages)) + 1).cast("int")
     tables.rebalanced(orders.withColumn("page", page), "page").write.partitionBy("page").json(path)
     data.spark.dataSource.register(PagedSource)
-    return data.spark.read.format("pages").schema(orders.schema).load(path)
+    readers = data.spark.sparkContext.defaultParallelism
+    return data.spark.read.format("pages").schema(orders.schema).option("readers", readers).load(path)
 
 
 @query("external_vs_native_counts", """SELECT 'external' AS source, count(*) AS n FROM lineitem UNION ALL

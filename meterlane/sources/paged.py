@@ -38,13 +38,16 @@ class PagedReader(DataSourceReader):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         wanted = to_arrow_schema(self.schema)
-        page = partition.first
-        while (table := self._page(page, wanted)) is not None and table.num_rows:
-            yield from table.to_batches()
+        page, found = partition.first, True
+        while found:
+            found = False
+            for block in self._blocks(page, wanted):
+                found = found or block.num_rows > 0
+                yield block
             page += partition.step
 
-    def _page(self, number: int, wanted):
-        """One page as an Arrow table, or None when there is no such page."""
+    def _blocks(self, number: int, wanted) -> Iterator:
+        """The rows of one page, a block of its text at a time; nothing when there is no such page."""
         import pyarrow as pa
         import pyarrow.fs as pafs
         import pyarrow.json as pajson
@@ -52,15 +55,15 @@ class PagedReader(DataSourceReader):
         uri = f"{self.root}/page={number}"
         store, folder = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
         if store.get_file_info(folder).type == pafs.FileType.NotFound:
-            return None
+            return
         parts = [f for f in store.get_file_info(pafs.FileSelector(folder))
                  if f.is_file and f.size and f.base_name.endswith(".json")]
-        tables = []
         for part in parts:
             with store.open_input_stream(part.path) as lines:
                 options = pajson.ParseOptions(explicit_schema=wanted)
-                tables.append(pajson.read_json(lines, parse_options=options).select(wanted.names))
-        return pa.concat_tables(tables).cast(wanted) if tables else None
+                for block in pajson.open_json(lines, parse_options=options):
+                    table = pa.Table.from_batches([block]).select(wanted.names).cast(wanted)
+                    yield from table.to_batches()
 
 
 class PagedSource(DataSource):
