@@ -17,14 +17,18 @@ def connected(edges: DataFrame) -> DataFrame:
     loops are left out; an empty table gives an empty one.
     """
     forest = _ordered(edges.select("u", "v"))
-    seen = None
     while True:
         forest = materialize(_small_star(_large_star(forest)), "forest")
-        state = forest.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            return forest.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-                forest.select("v", "v")).distinct()
-        seen = state
+        if _flat(forest):
+            return forest.select(F.col("u").alias("node"), F.col("v").alias("root")).union(forest.select("v", "v").distinct())
+
+
+def _flat(forest: DataFrame) -> bool:
+    """Whether each node either hangs on one other or carries others: then the stars are the components."""
+    ends = (forest.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("carries"))
+            .union(forest.select("v", F.lit(0), F.lit(1))))
+    both = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("carries").alias("carries"))
+    return not both.filter("hangs + carries > 1").agg(F.count("*")).first()[0]
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
