@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlane import session
 from meterlane.session import materialize
 
 
@@ -16,13 +17,18 @@ def connected(edges: DataFrame) -> DataFrame:
     neighbours are never gathered: minima are aggregated and joined back. Null ends and
     loops are left out; an empty table gives an empty one.
     """
-    forest = _ordered(edges.select("u", "v"))
+    forest = _aside(_ordered(edges.select("u", "v")), "edges")
     while True:
-        forest = materialize(_small_star(_large_star(forest)), "forest")
+        forest = materialize(_small_star(_aside(_large_star(forest), "stars")), "forest")
         if _flat(forest):
             return forest.select(F.col("u").alias("node"), F.col("v").alias("root")).union(forest.select("v", "v").distinct())
 
 
+def _aside(edges: DataFrame, label: str) -> DataFrame:
+    """Edges as a table of their own: half a turn names them several times, and would repeat their whole plan for each."""
+    return session.materialize(edges, label)
+
+
 def _flat(forest: DataFrame) -> bool:
     """Whether each node either hangs on one other or carries others: then the stars are the components."""
     ends = (forest.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("carries"))

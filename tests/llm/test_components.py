@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from meterlane import session
 from meterlane.llm import components
 from meterlane.session import materialize
 
@@ -31,3 +32,21 @@ def test_components_of_random_graphs(spark):
                     changed = True
         found = components.connected(spark.createDataFrame(pairs, "u long, v long")).collect()
         assert sorted((r.node, r.root) for r in found) == sorted(root.items())
+
+
+def test_the_plan_of_the_edges_is_not_repeated(spark, monkeypatch):
+    """The driver keeps memory for each exchange it plans, and edges may take joins to make."""
+    plans = []
+
+    def written(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(components, "materialize", written)
+    monkeypatch.setattr(session, "materialize", written)
+    ends = spark.range(0, 40, 2).selectExpr("id AS u", "id + 1 AS k")
+    edges = ends.join(spark.range(1, 61, 2).selectExpr("id AS k", "id + 1 AS v").hint("merge"), "k").select("u", "v")
+    found = components.connected(edges).collect()
+    assert {r.node for r in found} == set(range(0, 41, 2)) and {r.root for r in found} == {0}
+    assert sum(plan.count("SortMergeJoin [k") for plan in plans) == 1
+    assert max(plan.count("Exchange hashpartitioning") for plan in plans) <= 4
