@@ -123,6 +123,24 @@ def test_hot_key_is_spread_over_the_state_partitions(spark):
         spark.conf.unset(run.STATE_PARTITIONS)
 
 
+@pytest.mark.parametrize("portion", [1 << 19, 700])
+def test_only_hot_keys_take_more_than_one_state_entry(spark, monkeypatch, portion):
+    monkeypatch.setattr(state, "PORTION", portion)
+    schema, nan = "k long, id long, v double", float("nan")
+    rows = [(k, 1000 * k + i, 0.5) for k in range(300) for i in range(4)] + [(None, i, 0.25) for i in range(3)]
+    rows += [(900, i, 2.0) for i in range(2000)] + [(901, 1, None), (902, 1, nan), (902, 2, 1.5)]
+    topic = Topic(spark, schema).send(*rows)
+    for delivery in (1, 2):
+        totals = run.upsert(state.keyed_totals(topic.stream(), "k", "id", "v", salts=8), "few", ["key", "salt"],
+                            topic.out, topic.checkpoint)
+        assert totals.filter("key = 900").count() >= 5
+        assert totals.filter("key < 300").count() == 300
+        got = {r["key"]: (r["trips"], r["amount"]) for r in state.folded(totals).collect()}
+        assert got == {**{k: (4 * delivery, 2.0 * delivery) for k in range(300)}, None: (3 * delivery, 0.75 * delivery),
+                       900: (2000 * delivery, 4000.0 * delivery), 901: (delivery, 0.0), 902: (2 * delivery, 1.5 * delivery)}
+        topic.send(*rows)
+
+
 def test_broken_records_are_kept_apart(spark):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
     topic = Topic(spark, "value string").send(('{"id": 1, "v": 2.5}',), ('{"id": "x", "v": 1}',), ('{"id": 3',))
