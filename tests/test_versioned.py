@@ -63,6 +63,17 @@ def test_merge_rewrites_only_files_with_matching_keys(spark, table, strategy):
         assert len(set(before.items()) & set(after.items())) == len(before) - 1
 
 
+def test_files_concerned_are_found_without_taking_paths_apart_per_row(spark, table, monkeypatch):
+    frame, plans = type(spark.range(0)), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: plans.append(
+        self._jdf.queryExecution().optimizedPlan().toString()) or collect(self))
+    new = spark.createDataFrame([(55, "new")], "id long, v string")
+    assert versioned.delete_insert(new, table, ["id"]).filter("v = 'new'").count() == 1
+    searched = [p for p in plans if "file_path" in p]
+    assert searched and not any("regexp" in p for p in searched)
+
+
 def test_keys_that_repeat_or_are_null(spark, table):
     new = spark.createDataFrame([(3, "a"), (3, "b"), (None, "c"), (None, "c")], "id long, v string")
     got = versioned.merge(new, table, ["id"], [F.desc("v")])
