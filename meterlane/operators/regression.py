@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Imputer, OneHotEncoder, OneHotEncoderModel, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame
@@ -171,32 +170,40 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
+def _inputs(model: PipelineModel) -> list[tuple[str, Column]]:
+    """Each input of a fitted model with what it adds to the prediction, before any mean is taken off.
+
+    A category has one weight per one-hot position; its index picks it. The last category, missing and new values, has none.
+    """
+    encoded = {hot: (index, size) for stage in model.stages if isinstance(stage, OneHotEncoderModel) for index, hot, size in
+               zip(stage.getInputCols(), stage.getOutputCols(), stage.categorySizes)}
+    assembler, fitted = model.stages[-2:]
+    weights = [float(w) for w in fitted.coefficients.toArray()]
+    out, at = [], 0
+    for column in assembler.getInputCols():
+        index, size = encoded.get(column, (None, 2))
+        own, at = weights[at:at + size - 1], at + size - 1
+        if index is None:
+            out.append((column.removesuffix(FILLED), F.lit(own[0]) * F.col(column)))
+        elif own:
+            weight = F.get(F.array(*[F.lit(w) for w in own]), F.col(index).cast("int"))
+            out.append((column.removesuffix(HOT), F.coalesce(weight, F.lit(0.0))))
+    return out
+
+
 def model_attributions(model: PipelineModel, df: DataFrame, k: int) -> DataFrame:
     """Predictions of a fitted model with the ``k`` inputs that moved each row's prediction most.
 
     A category's share is that of all its one-hot positions together, so that the shares of all
-    inputs add up to the prediction less the one for mean features. The mean vector has one entry
-    per position, so it is bounded by the model's size.
+    inputs add up to the prediction less the one for mean features. Shares are plain columns, one per
+    input, so the number of one-hot positions doesn't count for a row.
     """
-    from pyspark.ml.stat import Summarizer
-
     predicted = model.transform(df)
-    centre = predicted.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
-    fitted = model.stages[-1]
-    groups = predicted.schema["features"].metadata["ml_attr"]["attrs"].values()
-    # Positions of an input lie side by side.
-    named = sorted((a["idx"], a["name"].removesuffix(FILLED).rpartition(HOT)[0] or a["name"].removesuffix(FILLED))
-                   for group in groups for a in group)
-    positions = {name: [i for i, n in named if n == name] for name in dict.fromkeys(n for _, n in named)}
-    weights = F.array(*[F.lit(float(w)) for w in fitted.coefficients.toArray()])
-    means = F.array(*[F.lit(float(m)) for m in centre])
-    by_position = F.transform(vector_to_array("features"), lambda v, i: F.get(weights, i) * (v - F.get(means, i)))
-    parts = [F.aggregate(F.slice("__shares", at[0] + 1, len(at)), F.lit(0.0), lambda a, b: a + b).alias(f"__share_{n}")
-             for n, at in enumerate(positions.values())]
-    shared = predicted.withColumn("__shares", by_position).select(*predicted.columns, *parts)
-    shares = [F.struct(_strength(F.col(f"__share_{n}")).alias("rank"), F.lit(name).alias("feature"),
-                       F.col(f"__share_{n}").alias("attribution")) for n, name in enumerate(positions)]
-    strongest = F.transform(F.slice(F.sort_array(F.array(*shares)), 1, k),
-                            lambda s: F.struct(s["feature"].alias("feature"),
-                                               s["attribution"].alias("attribution")))
+    inputs = _inputs(model)
+    centre = predicted.agg(*[F.avg(part) for _, part in inputs]).first()
+    parts = [(part - F.lit(mean_part)).alias(f"__share_{n}") for n, ((_, part), mean_part) in enumerate(zip(inputs, centre))]
+    shared = predicted.select(*predicted.columns, *parts)
+    shares = [F.struct(_strength(F.col(f"__share_{n}")).alias("rank"), F.struct(
+        F.lit(name).alias("feature"), F.col(f"__share_{n}").alias("attribution")).alias("share")) for n, (name, _) in enumerate(inputs)]
+    strongest = F.slice(F.sort_array(F.array(*shares)), 1, k)["share"]
     return shared.select(*predicted.columns, strongest.alias("top_attributions"))

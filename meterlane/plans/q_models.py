@@ -92,10 +92,10 @@ def ml_predict(data: Data):
 @query("ml_explain_model")
 def ml_explain_model(data: Data):
     model, rows = fitted(data)
-    explained = regression.model_attributions(model, rows, 3)
-    return explained.select("order_key", "prediction", F.posexplode("top_attributions").alias("place", "share")).select(
-        "order_key", F.round("prediction", 6).alias("prediction"), "place", "share.feature",
-        F.round("share.attribution", 6).alias("attribution"))
+    explained = regression.model_attributions(model, rows, 3).withColumn("prediction", F.round("prediction", 6))
+    # No list is empty; for the plain form Spark adds a filter on their size, which ranks all shares a second time.
+    return explained.select("order_key", "prediction", F.posexplode_outer("top_attributions").alias("place", "share")).select(
+        "order_key", "prediction", "place", "share.feature", F.round("share.attribution", 6).alias("attribution"))
 
 
 SHARES = """SELECT *, unnest([{'r': -abs(s1), 'feature': 'fare', 'a': s1}, {'r': -abs(s2), 'feature': 'distance', 'a': s2},

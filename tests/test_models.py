@@ -90,6 +90,24 @@ def test_attributions_are_per_input_and_add_up(line):
     assert all(abs(r["top_attributions"][0][1]) >= abs(r["top_attributions"][1][1]) for r in rows)
 
 
+def test_shares_are_measured_from_the_mean_row(spark, line):
+    model = regression.train(line, ["x"], ["c"])
+    rows = spark.createDataFrame([(x, c) for x in (3.0, 8.0, None) for c in ("0", "1", "2", None, "new")], "x double, c string")
+    got = regression.model_attributions(model, rows, 9).select("x", "c", "prediction", "top_attributions").collect()
+    shares = [{s["feature"]: s["attribution"] for s in r["top_attributions"]} for r in got]
+    centre = np.mean([r["prediction"] for r in got])
+    assert [sum(s.values()) for s in shares] == pytest.approx([r["prediction"] - centre for r in got])
+    for name in ("x", "c"):
+        assert sum(s[name] for s in shares) == pytest.approx(0, abs=1e-6)
+        assert len({round(s[name], 6) for s in shares}) == {"x": 3, "c": 4}[name]
+
+
+def test_shares_are_ranked_once_and_without_work_per_position(spark):
+    catalog.load_all()
+    plan = catalog.QUERIES["ml_explain_model"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(") == 1 and "lambda" not in plan
+
+
 def test_search_space():
     points = regression.search_points(200)
     assert points == regression.search_points(200) and {l2 for _, l2 in points} == set(regression.L2_CHOICES)
